@@ -14,6 +14,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from setforge.sources.inline import values
+
 MAJOR, MINOR = "__range", "__subrange"
 
 
@@ -128,9 +130,10 @@ def running_totals(
     ends = list(accumulate(r.total for r in totals))
     spark = df.sparkSession
     kind = ranged.select(F.sum(amount).alias("total")).schema["total"].dataType.simpleString()
-    offsets = spark.createDataFrame(
+    offsets = values(
+        spark,
         [(r[MAJOR], r[MINOR], end - r.total) for r, end in zip(totals, ends)],
-        f"{MAJOR} int, {MINOR} int, __offset {kind}",
+        {MAJOR: "int", MINOR: "int", "__offset": kind},
     )
     inside = (
         Window.partitionBy(MAJOR, MINOR)

@@ -43,10 +43,10 @@ def overlaps(left: DataFrame, right: DataFrame, left_span: tuple, right_span: tu
         F.last("__l", ignorenulls=True).over(seen).alias("__l"),
         F.last("__r", ignorenulls=True).over(seen).alias("__r"),
     )
-    true_end = F.col(POS) == F.least(F.col(f"__l.{le}"), F.col(f"__r.{re}"))
-    once = F.col("__from_left") | (F.col(f"__l.{le}") != F.col(POS))
-    # a copy that stops at a cut is not a span end, unless a span really ends there
-    return covered.filter(F.col("__l").isNotNull() & F.col("__r").isNotNull() & true_end & once).select("__l.*", "__r.*")
+    # only a real span end makes a row, not a copy that stops at a cut; a shared end counts once
+    left_end, right_end = F.col(f"__l.{le}") == F.col(POS), F.col(f"__r.{re}") == F.col(POS)
+    meets = (F.col("__from_left") & left_end) | (~F.col("__from_left") & right_end & ~left_end)
+    return covered.filter(F.col("__l").isNotNull() & F.col("__r").isNotNull() & meets).select("__l.*", "__r.*")
 
 
 def stab(points: DataFrame, spans: DataFrame, point: str, span: tuple, cuts: list) -> DataFrame:
