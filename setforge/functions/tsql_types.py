@@ -65,7 +65,7 @@ def _float_text(value: Column, kind: str) -> Column:
     shaped = F.when(trimmed == "", F.lit("0")).when(trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), trimmed)
     number = shaped.try_cast("float" if kind == "real" else "double")
     number = F.when(~number.isin(float("inf"), float("-inf")), number).cast("double")
-    plain = F.rtrim(F.lit("0"), F.format_string("%.6g", number))
+    plain = F.format_string("%.6g", number)
     size = F.abs(number)
     exponent = F.regexp_extract(F.format_string("%.5e", number), r"e([+-])(\d+)$", 2)
     sign = F.regexp_extract(F.format_string("%.5e", number), r"e([+-])(\d+)$", 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["pricing"]
+MODULES = ["core", "documents", "receipts", "pricing"]
 
 
 def _registries():
