@@ -263,8 +263,8 @@ def q_cycle_members(spark, sf_dir):
 
 
 registry.add("cycle_members", q_cycle_members, f"""
-    {WALK}, c AS (SELECT start_id, path FROM w WHERE start_id = id)
-    SELECT start_id AS id, list_min(list_transform(string_split(path, ' -> '), x -> CAST(x AS BIGINT))) AS cycle_id FROM c""")
+    {WALK}, c AS (SELECT start_id, unnest(string_split(path, ' -> ')) AS step FROM w WHERE start_id = id)
+    SELECT start_id AS id, min(CAST(step AS BIGINT)) AS cycle_id FROM c GROUP BY 1""")
 
 TREE = "SELECT p_partkey AS id, CASE WHEN p_partkey > 1 THEN CAST(floor(p_partkey / 2) AS BIGINT) END AS parent_id FROM {part}"
 
