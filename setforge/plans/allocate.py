@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setforge.operators.ordered import count_cuts, running_totals
+from setforge.session import cut_lineage
 
 PART, POS = "__part", "__pos"
 
@@ -103,11 +104,15 @@ def allocate(
     def empty(rows: DataFrame, span: tuple) -> DataFrame:
         return rows.filter((F.col(span[0]) == F.col(span[1])) & (F.col(span[1]) > 0))
 
-    met = overlaps(filled(s.rows, b), filled(d.rows, p), b, p, cuts)
+    supplied, asked = s.rows, d.rows
+    if s.has_zero or d.has_zero:
+        # both sides are read several times below: sort and sum them once
+        supplied, asked = cut_lineage(supplied), cut_lineage(asked)
+    met = overlaps(filled(supplied, b), filled(asked, p), b, p, cuts)
     if s.has_zero:
-        met = met.unionByName(stab(empty(s.rows, b), filled(d.rows, p), "b_aft", p, cuts))
+        met = met.unionByName(stab(empty(supplied, b), filled(asked, p), "b_aft", p, cuts))
     if d.has_zero:
-        met = met.unionByName(stab(empty(d.rows, p), filled(s.rows, b), "p_aft", b, cuts))
+        met = met.unionByName(stab(empty(asked, p), filled(supplied, b), "p_aft", b, cuts))
     taken = F.least("p_aft", "b_aft") - F.greatest("p_bef", "b_bef")
     return met.select(
         supply_key, demand_key, "b_bef", "b_aft", "p_bef", "p_aft", taken.alias("get"), "pqty", "bqty"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from setforge.functions.scalars import end_to_zero
 from setforge.operators.hierarchy import flatten_levels
 from setforge.operators.rules import apply_rules, join_any, lacks_flag, rule_level
 from setforge.operators.temporal import active_on, latest_as_of, opt_eq, started
@@ -35,7 +36,7 @@ def active_settings(
 
 def leveled_settings(active: DataFrame) -> DataFrame:
     """Settings with their rule level; an ended setting goes on under id 0."""
-    effective = F.when(F.col("IsDiscountEnd") == 0, F.col("DSettingID")).otherwise(F.lit(0).cast("bigint"))
+    effective = end_to_zero(F.col("DSettingID"), F.col("IsDiscountEnd") == 1)
     return active.withColumn("DSettingID", effective).withColumn("level", rule_level())
 
 

@@ -48,9 +48,11 @@ def type_text(name: str) -> str:
     return next((text for text, names in TYPE_TEXT.items() if name in names), name)
 
 
-def error_code(value: Column, rule: ColumnRule, declared: DeclaredType) -> Column:
+def error_code(
+    value: Column, rule: ColumnRule, declared: DeclaredType, converted: Column | None = None
+) -> Column:
     blank = text_length(value) == 0
-    converted = converted_text(value, declared)
+    converted = converted_text(value, declared) if converted is None else converted
     longer = text_length(value) > F.length(F.rtrim(converted))
     code = F.when(longer, TOO_LONG).when(converted.isNull(), WRONG_TYPE).otherwise(NO_ERROR)
     if rule.nullable is True:
@@ -92,10 +94,15 @@ def validate_cells(cells: DataFrame, rules: Sequence[ColumnRule], keys: Sequence
     if unknown:
         raise ValueError(f"unknown types: {', '.join(unknown)}")
     wide = pivot_cells(cells, [r.num for r in rules], keys)
+    # conversions are the costly part, so each gets a column of its own before it is tested twice
+    wide = wide.withColumns({f"to_{r.num}": converted_text(F.col(f"CV_{r.num}"), declared[r.num]) for r in rules})
+    wide = wide.withColumns(
+        {f"code_{r.num}": error_code(F.col(f"CV_{r.num}"), r, declared[r.num], F.col(f"to_{r.num}")) for r in rules}
+    ).filter(F.greatest(F.lit(NO_ERROR), *[F.col(f"code_{r.num}") for r in rules]) != NO_ERROR)
     checks = []
     for r in rules:
         d, value = declared[r.num], F.col(f"CV_{r.num}")
-        code = error_code(value, r, d)
+        code = F.col(f"code_{r.num}")
         checks.append(
             F.struct(
                 code.alias("ErrorCode"),

@@ -12,12 +12,16 @@ RULES_SCHEMA = "Column array<struct<_i: int, _type: string, _nullable: string>>"
 NAMES_SCHEMA = "Table array<struct<_Name: string>>"
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, row_xsd: str | None = None) -> DataFrame:
     """(source, RN, CN, CNN, CV) from workbooks of Sheet / Row / Cell elements.
 
-    The schema is stated: inference would read a column of digits as numbers.
+    The schema is stated: inference would read a column of digits as numbers. ``row_xsd``
+    names a schema file every row must fit; a row that does not stops the read.
     """
-    rows = spark.read.format("xml").option("rowTag", "Row").schema(ROW_SCHEMA).load(path)
+    reader = spark.read.format("xml").option("rowTag", "Row").schema(ROW_SCHEMA)
+    if row_xsd is not None:
+        reader = reader.option("rowValidationXSDPath", row_xsd).option("mode", "FAILFAST")
+    rows = reader.load(path)
     cells = rows.select(F.col("_metadata.file_path").alias("source"), F.col("_i").alias("RN"), F.explode("Cell").alias("c"))
     return cells.select(
         "source",
