@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setforge.operators.ordered import Order, rank_global
+from setforge.session import cut_lineage
+from setforge.sources.tables import append
 
 # Bounds of the report and of the job, in percent and files.
 REPORT_SKIP, REPORT_REBUILD = 5, 30
@@ -125,6 +127,8 @@ def compact(
     """
     if dry_run:
         return plan
+    # the plan comes from the very files the rewrite replaces, so fix it first
+    plan = cut_lineage(plan)
     started = spark.sql("SELECT current_timestamp() AS t").first().t
     data = spark.read.parquet(path)
     values = F.concat(*[F.concat(F.lit(f"/{c}="), F.col(c).cast("string")) for c in partition_by])
@@ -147,6 +151,7 @@ def compact(
     log = layout_compare(plan, after).withColumns(
         {"start_time": F.lit(started), "end_time": F.current_timestamp()}
     )
+    log = cut_lineage(log)
     if audit is not None:
-        log.write.mode("append").parquet(audit)
+        append(log, audit)
     return log
