@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +51,16 @@ def names_from_xml(df: DataFrame, column: str) -> DataFrame:
 ERROR_ATTRIBUTES = ["ErrorCode", "RowNum", "CellNum", "CellName", "CellValue", "ErrorRus", "ErrorMessage"]
 
 
-def errors_to_xml(errors: DataFrame, block_rows: int = 10_000) -> DataFrame:
-    """(block, xml): ``<Errors ErrorCount=..><Error .../>...</Errors>`` in blocks of rows.
+def errors_to_xml(errors: DataFrame, block_rows: int = 10_000, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, block, xml): ``<Errors ErrorCount=..><Error .../>...</Errors>`` in blocks of rows.
 
     One document over all errors would be one row of unbounded size, so errors go out in
-    blocks by row number; every block states its own count.
+    blocks by row number; every block states its own count. Name the file in ``keys`` when
+    the errors come from many workbooks, so that their rows do not share a block.
     """
     item = F.struct(*[F.col(c).cast("string").alias(f"_{c}") for c in ERROR_ATTRIBUTES])
-    blocks = errors.groupBy(F.floor(F.col("RowNum") / block_rows).cast("bigint").alias("block")).agg(
+    blocks = errors.groupBy(*keys, F.floor(F.col("RowNum") / block_rows).cast("bigint").alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("CellNum", "RowNum", item.alias("item")))).alias("items")
     )
     root = F.struct(F.size("items").alias("_ErrorCount"), F.transform("items", lambda e: e["item"]).alias("Error"))
-    return blocks.select("block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))
+    return blocks.select(*keys, "block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))
