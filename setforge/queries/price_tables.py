@@ -63,10 +63,10 @@ TABLES: dict[str, str] = {
     "market_groups": """
         SELECT DISTINCT 1 + p_partkey % 5 AS MGPID, CASE WHEN p_partkey % 5 = 4 THEN 0 ELSE 1 END AS Status FROM {part}""",
     "group_settings": f"""
-        SELECT CAST(1 + n_nationkey % 6 AS BIGINT) AS MGID, CAST(1 + n_nationkey % 5 AS BIGINT) AS MGPID,
+        SELECT CAST(1 + n_nationkey % 3 AS BIGINT) AS MGID, CAST(1 + n_nationkey % 2 AS BIGINT) AS MGPID,
                CASE WHEN n_nationkey % 4 = 0 THEN 1 + n_nationkey END AS BrandID,
                CASE WHEN n_nationkey % 4 = 1 THEN CAST(100 + n_nationkey AS BIGINT) END AS CategoryID,
-               CASE WHEN n_nationkey % 4 < 2 AND n_nationkey % 3 = 0 THEN 2 ELSE 1 END AS RowType,
+               CASE WHEN n_nationkey % 4 < 2 AND n_nationkey >= 6 THEN 2 ELSE 1 END AS RowType,
                {CALC} - n_nationkey AS DateStart,
                CASE WHEN n_nationkey % 2 = 0 THEN {CALC} + n_nationkey END AS DateEnd
         FROM {{nation}}""",
