@@ -38,7 +38,14 @@ def as_order(order_by: str | Order | Sequence[str | Order]) -> list[Order]:
     return [i if isinstance(i, Order) else Order(i) for i in items]
 
 
-def count_cuts(value: Column, cuts: Sequence, inclusive: bool) -> Column:
+def cut_table(cuts: Sequence, kind: str = "bigint") -> Column:
+    """Ascending cut points as one constant: a text the optimizer folds, however many there are."""
+    if not cuts:
+        return F.array().cast(f"array<{kind}>")
+    return F.sort_array(F.split(F.lit(",".join(str(c) for c in cuts)), ",").cast(f"array<{kind}>"))
+
+
+def count_cuts(value: Column, cuts: Sequence, inclusive: bool, kind: str = "bigint") -> Column:
     """How many of the ascending ``cuts`` lie below ``value`` (``inclusive``: at or below).
 
     A binary search in one native expression: log2(len(cuts)) steps per row, compared in the
@@ -47,7 +54,7 @@ def count_cuts(value: Column, cuts: Sequence, inclusive: bool) -> Column:
     n = len(cuts)
     if n == 0:
         return F.lit(0)
-    table = F.array(*[F.lit(c) for c in cuts])
+    table = cut_table(cuts, kind)
     steps = [1 << k for k in reversed(range(n.bit_length()))]
 
     def advance(found: Column, step: Column) -> Column:
@@ -58,12 +65,13 @@ def count_cuts(value: Column, cuts: Sequence, inclusive: bool) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-def _quantiles(df: DataFrame, column: str, ranges: int) -> list:
+def _quantiles(df: DataFrame, column: str, ranges: int) -> list[str]:
+    """Ascending cut points as texts, so that they return to the column's type unchanged."""
     points = [i / ranges for i in range(1, ranges)]
     if not points:
         return []
     accuracy = max(10_000, 10 * ranges)
-    return df.agg(F.percentile_approx(column, points, accuracy)).first()[0] or []
+    return df.agg(F.percentile_approx(column, points, accuracy).cast("array<string>")).first()[0] or []
 
 
 def default_ranges(df: DataFrame) -> int:
@@ -79,20 +87,21 @@ def with_range(df: DataFrame, order: list[Order], ranges: int | None = None) ->
     ranges = ranges or default_ranges(df)
     lead = order[0]
     points = _quantiles(df, lead.column, ranges)
-    cuts = sorted(set(points))
-    hot = sorted({a for a, b in zip(points, points[1:]) if a == b})
-    x = F.col(lead.column)
+    cuts = list(dict.fromkeys(points))
+    hot = list(dict.fromkeys(a for a, b in zip(points, points[1:]) if a == b))
+    kinds = dict(df.dtypes)
+    x, kind = F.col(lead.column), kinds[lead.column]
     # below + at-or-below: even for values between cuts, odd for a value equal to a cut
-    code = count_cuts(x, cuts, False) + count_cuts(x, cuts, True)
+    code = count_cuts(x, cuts, False, kind) + count_cuts(x, cuts, True, kind)
     major = F.coalesce(code, F.lit(-1))
     minor = F.lit(0)
     if len(order) > 1:
         tie = order[1]
-        crowded = x.isNull() | x.isin(hot) if hot else x.isNull()
-        tie_cuts = sorted(set(_quantiles(df.filter(crowded), tie.column, ranges)))
+        crowded = F.coalesce(F.array_contains(cut_table(hot, kind), x), F.lit(True)) if hot else x.isNull()
+        tie_cuts = list(dict.fromkeys(_quantiles(df.filter(crowded), tie.column, ranges)))
         if tie_cuts:
             t = F.col(tie.column)
-            below = F.coalesce(count_cuts(t, tie_cuts, False), F.lit(-1))
+            below = F.coalesce(count_cuts(t, tie_cuts, False, kinds[tie.column]), F.lit(-1))
             minor = F.when(crowded, -below if tie.descending else below).otherwise(0)
     return df.withColumn(MAJOR, -major if lead.descending else major).withColumn(MINOR, minor)
 
@@ -105,6 +114,7 @@ class RunningTotals:
     range_ends: list  # running total at the end of each range, ascending
     minimum: object  # smallest value seen, None for an empty input
     has_zero: bool
+    kind: str  # type of the totals
 
 
 def running_totals(
@@ -148,7 +158,7 @@ def running_totals(
         .drop(MAJOR, MINOR, "__offset")
     )
     lows = [r.low for r in totals]
-    return RunningTotals(rows, ends, min(lows) if lows else None, any(r.zero for r in totals))
+    return RunningTotals(rows, ends, min(lows) if lows else None, any(r.zero for r in totals), kind)
 
 
 def prefix_sum(

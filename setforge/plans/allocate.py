@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setforge.operators.ordered import count_cuts, running_totals
+from setforge.operators.ordered import count_cuts, cut_table, running_totals
 from setforge.session import cut_lineage
 
 PART, POS = "__part", "__pos"
 
 
-def _first_last_part(start: Column, end: Column, cuts: list) -> tuple[Column, Column]:
-    # parts are the half-open stretches (cut[k-1], cut[k]]
-    return count_cuts(start, cuts, True), count_cuts(end, cuts, False)
+@dataclass(frozen=True)
+class Line:
+    """The line of running totals, cut into parts (cut[k-1], cut[k]]."""
+
+    cuts: list
+    kind: str
+
+    def part_of(self, position: Column) -> Column:
+        return count_cuts(position, self.cuts, False, self.kind)
 
+    def parts(self, start: Column, end: Column) -> Column:
+        """Every part a span (start, end] touches."""
+        return F.sequence(count_cuts(start, self.cuts, True, self.kind), self.part_of(end))
 
-def overlaps(left: DataFrame, right: DataFrame, left_span: tuple, right_span: tuple, cuts: list) -> DataFrame:
+    def end_in(self, part: Column, end: Column) -> Column:
+        """Where a span stops inside a part: at its own end or at the part's."""
+        return F.least(end, F.get(cut_table(self.cuts, self.kind), part))
+
+
+def overlaps(left: DataFrame, right: DataFrame, left_span: tuple, right_span: tuple, line: Line) -> DataFrame:
     """Join two sets of spans (start, end] by overlap; spans on one side must not overlap each other.
 
     Instead of a theta join, both sides are laid on one line that is cut into parts. A span
@@ -27,12 +43,9 @@ def overlaps(left: DataFrame, right: DataFrame, left_span: tuple, right_span: tu
     (ls, le), (rs, re) = left_span, right_span
 
     def events(df: DataFrame, start: str, end: str, own: str) -> DataFrame:
-        first, last = _first_last_part(F.col(start), F.col(end), cuts)
         row = F.struct(*[F.col(c) for c in df.columns])
-        ends = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-        return df.select(F.explode(F.sequence(first, last)).alias(PART), F.col(end).alias("__end"), row.alias(own)).select(
-            PART, F.least(F.col("__end"), F.get(ends, F.col(PART))).alias(POS), own
-        )
+        laid = df.select(F.explode(line.parts(F.col(start), F.col(end))).alias(PART), F.col(end).alias("__end"), row.alias(own))
+        return laid.select(PART, line.end_in(F.col(PART), F.col("__end")).alias(POS), own)
 
     both = events(left, ls, le, "__l").unionByName(events(right, rs, re, "__r"), allowMissingColumns=True)
     # walking from high to low, the last span seen is the one that covers the position
@@ -50,17 +63,14 @@ def overlaps(left: DataFrame, right: DataFrame, left_span: tuple, right_span: tu
     return covered.filter(F.col("__l").isNotNull() & F.col("__r").isNotNull() & meets).select("__l.*", "__r.*")
 
 
-def stab(points: DataFrame, spans: DataFrame, point: str, span: tuple, cuts: list) -> DataFrame:
+def stab(points: DataFrame, spans: DataFrame, point: str, span: tuple, line: Line) -> DataFrame:
     """Attach to each point the span (start, end] holding it. Many rows may share one point."""
     start, end = span
     places = points.select(F.col(point).alias(POS)).distinct()
-    mark = places.select(count_cuts(F.col(POS), cuts, False).alias(PART), POS, F.lit(True).alias("__mark"))
-    first, last = _first_last_part(F.col(start), F.col(end), cuts)
+    mark = places.select(line.part_of(F.col(POS)).alias(PART), POS, F.lit(True).alias("__mark"))
     row = F.struct(*[F.col(c) for c in spans.columns]).alias("__s")
-    ends = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    laid = spans.select(F.explode(F.sequence(first, last)).alias(PART), F.col(end).alias("__end"), row).select(
-        PART, F.least(F.col("__end"), F.get(ends, F.col(PART))).alias(POS), "__s"
-    )
+    laid = spans.select(F.explode(line.parts(F.col(start), F.col(end))).alias(PART), F.col(end).alias("__end"), row)
+    laid = laid.select(PART, line.end_in(F.col(PART), F.col("__end")).alias(POS), "__s")
     seen = Window.partitionBy(PART).orderBy(F.col(POS).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
         mark.unionByName(laid, allowMissingColumns=True)
@@ -95,7 +105,7 @@ def allocate(
         if side.minimum is not None and side.minimum < 0:
             raise ValueError(f"negative quantity: {side.minimum}")
     # range ends of both sides: no part holds more rows of a side than one range of that side
-    cuts = sorted(set(s.range_ends) | set(d.range_ends))
+    line = Line(sorted(set(s.range_ends) | set(d.range_ends)), s.kind if s.kind == d.kind else "decimal(38,6)")
     b, p = ("b_bef", "b_aft"), ("p_bef", "p_aft")
 
     def filled(rows: DataFrame, span: tuple) -> DataFrame:
@@ -108,11 +118,11 @@ def allocate(
     if s.has_zero or d.has_zero:
         # both sides are read several times below: sort and sum them once
         supplied, asked = cut_lineage(supplied), cut_lineage(asked)
-    met = overlaps(filled(supplied, b), filled(asked, p), b, p, cuts)
+    met = overlaps(filled(supplied, b), filled(asked, p), b, p, line)
     if s.has_zero:
-        met = met.unionByName(stab(empty(supplied, b), filled(asked, p), "b_aft", p, cuts))
+        met = met.unionByName(stab(empty(supplied, b), filled(asked, p), "b_aft", p, line))
     if d.has_zero:
-        met = met.unionByName(stab(empty(asked, p), filled(supplied, b), "p_aft", b, cuts))
+        met = met.unionByName(stab(empty(asked, p), filled(supplied, b), "p_aft", b, line))
     taken = F.least("p_aft", "b_aft") - F.greatest("p_bef", "b_bef")
     return met.select(
         supply_key, demand_key, "b_bef", "b_aft", "p_bef", "p_aft", taken.alias("get"), "pqty", "bqty"
