@@ -60,7 +60,7 @@ def gathered_counts(docs: DataFrame, columns: list[str], size: int, count) -> np
             if part.any():
                 yield pa.record_batch([pa.array([at // SLICE], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
 
-    def add(key, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in parts:
             for cell in batch.column("counts"):

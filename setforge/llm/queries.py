@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .packing import op8_packing
 from .records import op1_token_records
 
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {}
