@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .jaccard import op10_jaccard_join
 from .packing import op8_packing
 from .records import op1_token_records
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op8_packing": op8_packing,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
