@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .jaccard import op10_jaccard_join
 from .packing import op8_packing
+from .quality import op3_quality_rules
 from .records import op1_token_records
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op8_packing": op8_packing,
     "op10_jaccard_join": op10_jaccard_join,
+    "op3_quality_rules": op3_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
