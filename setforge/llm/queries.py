@@ -6,12 +6,16 @@ from .jaccard import op10_jaccard_join
 from .packing import op8_packing
 from .quality import op3_quality_rules
 from .records import op1_token_records
+from .topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op8_packing": op8_packing,
     "op10_jaccard_join": op10_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
+    "op2_exact_top_k": op2_exact_top_k,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_top_k": OP2_SQL,
+}
