@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard import op10_jaccard_join
+from .mixing import OP9_SQL, op9_mixing
 from .packing import op8_packing
 from .quality import op3_quality_rules
 from .records import op1_token_records
@@ -14,8 +15,10 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op2_exact_top_k": op2_exact_top_k,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": OP2_SQL,
+    "op9_mixing": OP9_SQL,
 }
