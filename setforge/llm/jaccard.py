@@ -91,8 +91,8 @@ def need(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def prefix_of(x: np.ndarray, counts: np.ndarray, bits: int, percent: int) -> tuple[int, np.ndarray]:
-    """l and the kept shingles of a set."""
+def prefix_of(x: np.ndarray, counts: np.ndarray, common: float, bits: int, percent: int) -> tuple[int, np.ndarray]:
+    """l and the kept shingles of a set; ``common`` is what any counter holds by chance."""
     n, least = len(x), need(len(x), percent)
     most = min(MOST_MATCHES, least)
     own = counts[counter(x, bits)]
@@ -103,7 +103,7 @@ def prefix_of(x: np.ndarray, counts: np.ndarray, bits: int, percent: int) -> tup
         order = np.lexsort((x, own))
     x, own = x[order], own[order]
     # expected other documents in each list: what stands out of the counters' common level
-    others = np.cumsum(np.maximum(0, own - np.median(counts) * 1.5 - 1))
+    others = np.cumsum(np.maximum(0, own - common - 1))
     cost = [others[n - least + m - 1] * (1 + VERIFY_COST / m) for m in range(1, most + 1)]
     m = int(np.argmin(cost)) + 1
     return m, x[: n - least + m]
@@ -112,7 +112,7 @@ def prefix_of(x: np.ndarray, counts: np.ndarray, bits: int, percent: int) -> tup
 def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, percent: int) -> DataFrame:
     """(doc_id, n, set_a, set_b, matches, prefix): set_a and set_b name the whole set."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64()))])
-    level = np.maximum(counts, 0)
+    common = 1.5 * float(np.median(counts))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_intdigest
@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, perce
                 for cell in part.column("text"):
                     x = shingles(cell.as_py(), width)
                     name = xxh3_128_intdigest(x.tobytes())
-                    m, kept = prefix_of(x, level, bits, percent) if len(x) else (0, x)
+                    m, kept = prefix_of(x, counts, common, bits, percent) if len(x) else (0, x)
                     rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept))
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[1:], strict=True))], schema=schema)
 
