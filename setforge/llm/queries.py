@@ -8,6 +8,7 @@ from .packing import op8_packing
 from .quality import op3_quality_rules
 from .records import op1_token_records
 from .topk import OP2_SQL, op2_exact_top_k
+from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_token_records": op1_token_records,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op2_exact_top_k": op2_exact_top_k,
     "op9_mixing": op9_mixing,
+    "op6_toxicity": op6_toxicity,
 }
 
 ORACLES: dict[str, str] = {
