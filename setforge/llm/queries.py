@@ -7,6 +7,7 @@ from .mixing import OP9_SQL, op9_mixing
 from .packing import op8_packing
 from .quality import op3_quality_rules
 from .records import op1_token_records
+from .secrets import op5_secret_scan
 from .topk import OP2_SQL, op2_exact_top_k
 from .toxicity import op6_toxicity
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
     "op9_mixing": op9_mixing,
     "op6_toxicity": op6_toxicity,
+    "op5_secret_scan": op5_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
