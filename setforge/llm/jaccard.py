@@ -14,7 +14,9 @@ Prefix filter with several matches, adapted to each document:
 5. What is left are pairs of nodes in different components. In each list only nodes outside the list's main
    component meet the others; a pair inside a component can add nothing to the components and isn't made.
 
-Every link is verified on the whole sets. Shingles are 64-bit hashes (of five words).
+A candidate pair is first held against the two prefixes alone: up to the smaller of their last shingles both sets
+are fully known, and a pair that already differs there by more than a link allows is dropped. Every link is
+then verified on the whole sets. Shingles are 64-bit hashes (of five words).
 """
 
 from __future__ import annotations
@@ -92,21 +94,18 @@ def need(n: int, percent: int) -> int:
 
 
 def prefix_of(x: np.ndarray, counts: np.ndarray, common: float, bits: int, percent: int) -> tuple[int, np.ndarray]:
-    """l and the kept shingles of a set; ``common`` is what any counter holds by chance."""
+    """l and the kept shingles of a set, as ascending keys of the global order: six bits for the estimate,
+    57 bits of the hash. ``common`` is what any counter holds by chance."""
     n, least = len(x), need(len(x), percent)
     most = min(MOST_MATCHES, least)
-    own = counts[counter(x, bits)]
-    keep = n - least + most
-    if keep < n:
-        order = np.lexsort((x, own))[:keep]
-    else:
-        order = np.lexsort((x, own))
-    x, own = x[order], own[order]
-    # expected other documents in each list: what stands out of the counters' common level
-    others = np.cumsum(np.maximum(0, own - common - 1))
+    own = np.maximum(0, counts[counter(x, bits)] - common - 1)
+    key = np.minimum(63, 2 * np.log2(1 + own)).astype(np.int64) << 57 | (x.view(np.uint64) >> np.uint64(7)).astype(np.int64)
+    order = np.argsort(key)[: n - least + most]
+    # expected other documents in each list
+    others = np.cumsum(own[order])
     cost = [others[n - least + m - 1] * (1 + VERIFY_COST / m) for m in range(1, most + 1)]
     m = int(np.argmin(cost)) + 1
-    return m, x[: n - least + m]
+    return m, key[order[: n - least + m]]
 
 
 def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, percent: int) -> DataFrame:
@@ -144,15 +143,22 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return found.select("node", "text").mapInArrow(read, "node long, shingles array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    of = lambda k: sets.select(F.col("node").alias(k), F.col("shingles").alias(f"{k}_set"))
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, written: by their prefixes first, what is left by their whole sets."""
+    of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("prefix").alias(f"{k}_keys"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
+    both = both.withColumn("known", F.least(F.element_at("a_keys", -1), F.element_at("b_keys", -1)))
+    apart = F.size(F.filter("a_keys", lambda x: x <= F.col("known"))) + F.size(F.filter("b_keys", lambda x: x <= F.col("known"))) - 2 * F.size(F.array_intersect("a_keys", "b_keys"))
+    likely = stage(both.where((100 + percent) * apart <= (100 - percent) * (F.col("a_n") + F.col("b_n"))).select("a", "b"))
+    ids = stage(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct())
+    sets = stage(sets_of(docs, ids, width))
+    of = lambda k: sets.select(F.col("node").alias(k), F.col("shingles").alias(f"{k}_set"))
+    both = likely.join(of("a"), "a").join(of("b"), "b")
     common = F.size(F.array_intersect("a_set", "b_set")).cast("long")
-    return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b").distinct()
+    return stage(both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b").distinct())
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_rounds: int = 2, bits: int = SKETCH_BITS) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_rounds: int = 1, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
     Null, empty and word-free texts have no shingle and link with nothing. Rows that share a doc_id count as
@@ -169,11 +175,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_r
     lists = nodes.select("node", "n", "matches", F.explode("prefix").alias("token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("listed")).where("listed > 1").select("token")
     lists = stage(lists.join(shared, "token"))
-    # sets of the nodes that share a kept shingle, by one document of each
-    inside = lists.select("node").distinct()
-    ids = stage(nodes.select("node").join(inside, "node", "left_semi").distinct())
-    sets = stage(sets_of(rows, ids, width))
-
     edges, labels = None, None
     for turn in range(hub_rounds):
         at = lists if labels is None else mixed(with_label(lists, labels))
@@ -182,7 +183,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_r
         best = at.join(lead, "token").where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("shared"))
         best = best.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
         pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        found = stage(verified(pairs, sets, percent))
+        found = verified(pairs, nodes, rows, width, percent)
         edges = found if edges is None else edges.union(found)
         labels = stage(components(edges))
     at = stage(mixed(with_label(lists, labels)))
@@ -192,7 +193,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_r
     right = at.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("matches").alias("mb"), F.col("component").alias("cb"), "main")
     met = left.join(right, "token").where(f"ca <> cb and (cb = main or a < b) and {percent} * na <= 100 * nb and {percent} * nb <= 100 * na")
     pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("ma", "mb")).alias("least"))
-    found = stage(verified(pairs.where("shared >= least").select("a", "b"), sets, percent))
+    found = verified(pairs.where("shared >= least").select("a", "b"), nodes, rows, width, percent)
     labels = components(edges.union(found))
     # back from nodes to rows
     names = nodes.select("set_a", "set_b", "n", "node")
