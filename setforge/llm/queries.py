@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard import op10_jaccard_join
+from .linededup import op4_line_dedup
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op8_packing
 from .quality import op3_quality_rules
@@ -20,6 +21,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op6_toxicity": op6_toxicity,
     "op5_secret_scan": op5_secret_scan,
+    "op4_line_dedup": op4_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
