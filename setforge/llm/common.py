@@ -25,6 +25,15 @@ def stage(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+#: Rows of keys or labels that are broadcast at most (about 30 bytes each); beyond it their join is dealt by key.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few short columns, with a broadcast hint if its rows are few enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     ensure_checkpoint_dir(spark)

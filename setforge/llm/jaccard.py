@@ -28,15 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, gathered_counts, stage, table
+from .common import components, gathered_counts, small, stage, table
 
 #: Counters of the shingle estimates (4 MB a task).
 SKETCH_BITS = 19
 #: Longest extension of a prefix, and the cost of a verification in list entries.
 MOST_MATCHES, VERIFY_COST = 4, 8
-#: Node ids that are broadcast at most (8 bytes each); beyond it their join is dealt by key.
-BROADCAST_IDS = 2_000_000
-
 
 class WordHashes(dict):
     """64-bit hashes of words; starts anew at ``limit`` words."""
@@ -138,8 +135,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(at, 500)
                 yield pa.record_batch([part.column("node"), pa.array([shingles(t.as_py(), width) for t in part.column("text")], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    few = ids.count() <= BROADCAST_IDS
-    found = docs.withColumnRenamed("doc_id", "node").join(F.broadcast(ids) if few else ids, "node")
+    found = docs.withColumnRenamed("doc_id", "node").join(small(ids), "node")
     return found.select("node", "text").mapInArrow(read, "node long, shingles array<long>")
 
 
@@ -202,6 +198,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_r
     return members
 
 
+def one_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group of linked documents, all columns kept.
+
+    The document of the smallest doc_id stays. Rows that repeat doc_id and text become one. Documents without
+    shingles, and rows without doc_id, all stay.
+    """
+    found = stage(jaccard_components(docs, **settings))
+    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
+    left = docs.join(small(gone), F.col("__gone") == docs["doc_id"], "left_anti")
+    again = stage(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again"))
+    if again.isEmpty():
+        return left
+    twice = left.join(small(again), F.col("__again") == left["doc_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(small(again), F.col("__again") == left["doc_id"], "left_anti").unionByName(twice)
+
+
 def with_label(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return lists.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 

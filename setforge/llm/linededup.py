@@ -19,13 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stage, table
+from .common import components, small, stage, table
 
 #: Lines of fewer characters than the number allow one edit less.
 EDITS = [(10, 0), (20, 1)]
 MOST = 2
-#: Keys or lines that are broadcast at most (about 30 bytes each); beyond it their join is dealt by key.
-BROADCAST_ROWS = 1_000_000
 
 
 def edits(length: Column) -> Column:
@@ -158,11 +156,6 @@ def hashed(lines: DataFrame) -> DataFrame:
     return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64("line", F.lit(1)))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table, with a broadcast hint if it is small enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def letters(line: str) -> Column:
     """Counts of the letters a to z; an edit changes two of them by one at most."""
     return F.array(*[F.char_length(line) - F.char_length(F.replace(F.col(line), F.lit(c))) for c in map(chr, range(97, 123))])
@@ -218,13 +211,13 @@ def deduped(docs: DataFrame) -> DataFrame:
     (null, empty, blank) stays as it is.
     """
     rows = stage(classed(docs))
-    cut = rows.where("not kept").groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("cut"))
-    left = rows.groupBy("doc_id", "copy").agg(F.max("kept").alias("any_left"))
-    cut = cut.join(left.withColumnRenamed("doc_id", "d").withColumnRenamed("copy", "c"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c"))).select(F.col("d").alias("cut_id"), F.col("c").alias("cut_copy"), "cut", "any_left")
-    same = F.col("cut_id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("cut_copy") == F.xxhash64(docs["text"]))
-    joined = docs.join(cut, same, "left").where("any_left is null or any_left")
-    text = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda line, i: ~F.array_contains("cut", i)), "\n")
-    return joined.select(*[F.when(F.col("cut").isNull(), docs["text"]).otherwise(text).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    cut = rows.where("not kept").groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("__cut"))
+    left = rows.groupBy("doc_id", "copy").agg(F.max("kept").alias("__any_left"))
+    cut = cut.join(left.withColumnRenamed("doc_id", "d").withColumnRenamed("copy", "c"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c"))).select(F.col("d").alias("__cut_id"), F.col("c").alias("__cut_copy"), "__cut", "__any_left")
+    same = F.col("__cut_id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("__cut_copy") == F.xxhash64(docs["text"]))
+    joined = docs.join(cut, same, "left").where("__any_left is null or __any_left")
+    text = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda line, i: ~F.array_contains("__cut", i)), "\n")
+    return joined.select(*[F.when(F.col("__cut").isNull(), docs["text"]).otherwise(text).alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

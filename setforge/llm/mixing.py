@@ -75,11 +75,17 @@ def with_copies(docs: DataFrame, size: Column, weights: tuple[int, ...] = (1, 2,
     return joined.withColumn("copies", crossed.cast("long")).select(*own, "size", "source_size", "target", "copies")
 
 
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with every document as often as the mix takes it, by words; all columns kept."""
+    rows = docs.select("doc_id", "source", F.expr(word_count("text")).alias("words"), F.xxhash64("text").alias("text"), F.struct(*docs.columns).alias("document"))
+    rows = with_copies(rows, F.col("words"), **settings)
+    return rows.withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("document.*")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by their words, weights 1, 2, 3 in turn, three copies at most."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(word_count("text")).cast("long").alias("words"))
-    mixed = with_copies(docs, F.col("words"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return with_copies(docs, F.col("words")).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 OP9_SQL = r"""

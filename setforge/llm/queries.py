@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import ORACLE_SQL, run
+
 from .jaccard import op10_jaccard_join
+from .licenses import op7_license_scan
 from .linededup import op4_line_dedup
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op8_packing
@@ -22,9 +25,13 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op5_secret_scan": op5_secret_scan,
     "op4_line_dedup": op4_line_dedup,
+    "op7_license_scan": op7_license_scan,
+    "pipeline": run,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": OP2_SQL,
     "op9_mixing": OP9_SQL,
 }
+if ORACLE_SQL is not None:
+    ORACLES["pipeline"] = ORACLE_SQL
