@@ -40,11 +40,18 @@ PIECES = pa.schema(
 
 def pair_min_hash(ids: np.ndarray) -> int:
     """The smallest hash of two neighbouring ids: texts that share most pairs mostly share it."""
-    x = ids.astype(np.uint64)
-    x = x[:-1] << np.uint64(32) | x[1:] if len(x) > 1 else x
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return int(x.min() >> np.uint64(1))
+    x = ids.astype(np.uint32)
+    x = (x[:-1] << np.uint32(16) ^ x[1:] if len(x) > 1 else x) * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x85EBCA77)
+    return int(x.min())
+
+
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, ascending, and how often each occurs."""
+    x = np.sort(ids, kind="stable")  # a radix sort for 16 bits
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return x[first], np.diff(np.append(first, len(x)))
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -77,9 +84,9 @@ class Shard:
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         self.docs = docs
         sizes = np.array([len(d) for d in docs], np.int64)
-        owner = np.repeat(np.arange(len(docs), dtype=np.int64), sizes)
-        key, tf = np.unique(owner << 32 | np.concatenate(docs).astype(np.int64), return_counts=True)
-        doc, term = key >> 32, key & 0xFFFFFFFF
+        terms, counts = zip(*map(counted, docs), strict=True)
+        doc = np.repeat(np.arange(len(docs)), [len(t) for t in terms])
+        term, tf = np.concatenate(terms), np.concatenate(counts)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / mean))
         # the query side of each document: its heaviest terms
         self.begin = np.searchsorted(doc, np.arange(len(docs) + 1))
@@ -172,11 +179,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
     vocabulary = encoder(tokenizer, end_id).tokenizer.get_vocab_size() + 1
 
     def frequency(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        flags = np.zeros(vocabulary, bool)
         for x in arrays(batch):
-            flags[x] = True
-            total[:vocabulary] += flags
-            flags[x] = False
+            total[counted(x)[0]] += 1
             total[-2] += 1
             total[-1] += len(x)
 
