@@ -53,12 +53,14 @@ def word_count(text: str) -> str:
 SLICE = 1 << 14
 
 
-def gathered_counts(docs: DataFrame, columns: list[str], size: int, count) -> np.ndarray:
+def gathered_counts(docs: DataFrame, columns: list[str], size: int, count, task_most: int | None = None) -> np.ndarray:
     """Sums over all rows of a vector of ``size`` counters.
 
     ``count(batch, total)`` adds a batch to its task's counters. Each task sends one row per slice of
     2^14 counters, and each slice is summed by itself. ``size`` bounds what the driver gets (8 bytes each).
+    Where estimates will do, ``task_most`` stops each task's counters at 255, to send one byte each.
     """
+    cell = np.dtype(np.int64 if task_most is None else np.uint8)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
@@ -66,21 +68,22 @@ def gathered_counts(docs: DataFrame, columns: list[str], size: int, count) -> np
             count(batch, total)
         for at in range(0, size, SLICE):
             part = total[at : at + SLICE]
+            part = part if task_most is None else np.minimum(part, task_most).astype(cell)
             if part.any():
                 yield pa.record_batch([pa.array([at // SLICE], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
 
     def add(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in parts:
-            for cell in batch.column("counts"):
-                values = np.frombuffer(cell.as_buffer(), np.int64)
-                total = values.copy() if total is None else total + values
+            for part in batch.column("counts"):
+                values = np.frombuffer(part.as_buffer(), cell).astype(np.int64)
+                total = values if total is None else total + values
         yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
 
     schema = "slice int, counts binary"
     rows = docs.select(*columns).mapInArrow(local, schema).groupBy("slice").applyInArrow(add, schema).collect()
     out = np.zeros(size, np.int64)
-    for row in rows:
+    for row in rows:  # one for each slice
         values = np.frombuffer(row["counts"], np.int64)
         out[row["slice"] * SLICE : row["slice"] * SLICE + len(values)] = values
     return out

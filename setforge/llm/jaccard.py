@@ -9,12 +9,14 @@ Prefix filter with several matches, adapted to each document:
    a longer prefix asks for l common prefix shingles instead of one. Two documents that link share at least
    min(l, l') of the prefixes they keep.
 3. Documents with equal sets are one node; shingles that one node alone keeps are dropped.
-4. Hubs: each node is compared with the node that most often leads its lists. The links found join most of a
+4. Hubs: each node is compared with the node that most often leads its lists, for a few drawn leaders. The links found join most of a
    large group of near copies at the cost of one comparison a member.
 5. What is left are pairs of nodes in different components. In each list only nodes outside the list's main
    component meet the others; a pair inside a component can add nothing to the components and isn't made.
 
-A candidate pair is first held against the two prefixes alone: up to the smaller of their last shingles both sets
+Each set has a parity bitmap: a shingle turns one of 512 bits over. Bits in which two bitmaps differ are no more
+than the shingles in which the sets differ, so pairs far apart are left out of the joins that make candidates.
+A candidate pair is then held against the two prefixes alone: up to the smaller of their last shingles both sets
 are fully known, and a pair that already differs there by more than a link allows is dropped. Every link is
 then verified on the whole sets. Shingles are 64-bit hashes (of five words).
 """
@@ -22,16 +24,20 @@ then verified on the whole sets. Shingles are 64-bit hashes (of five words).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, gathered_counts, small, stage, table
 
-#: Counters of the shingle estimates (4 MB a task).
-SKETCH_BITS = 19
+#: Counters of the shingle estimates (one byte each a task).
+SKETCH_BITS = 22
+#: Hubs that a node is compared with, by round: most groups settle in the first.
+HUBS = (1, 6)
 #: Longest extension of a prefix, and the cost of a verification in list entries.
 MOST_MATCHES, VERIFY_COST = 4, 8
 
@@ -56,7 +62,7 @@ HASHES = WordHashes()
 
 
 def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``width`` words, A-Z in lower case; all words, if they are fewer."""
+    """Distinct hashes, ascending as unsigned numbers, of all runs of ``width`` words, A-Z in lower case; all words, if they are fewer."""
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, np.int64)
@@ -68,11 +74,11 @@ def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
             x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k]
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(27)
-    return np.unique(x.view(np.int64))
+    return np.unique(x).view(np.int64)
 
 
 def counter(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def estimates(docs: DataFrame, width: int, bits: int) -> np.ndarray:
@@ -82,7 +88,7 @@ def estimates(docs: DataFrame, width: int, bits: int) -> np.ndarray:
         for cell in batch.column("text"):
             np.add.at(total, counter(shingles(cell.as_py(), width), bits), 1)
 
-    return gathered_counts(docs, ["text"], 1 << bits, count)
+    return gathered_counts(docs, ["text"], 1 << bits, count, task_most=255)
 
 
 def need(n: int, percent: int) -> int:
@@ -105,9 +111,21 @@ def prefix_of(x: np.ndarray, counts: np.ndarray, common: float, bits: int, perce
     return m, key[order[: n - least + m]]
 
 
+def parity_of(x: np.ndarray) -> np.ndarray:
+    """512 bits, as eight longs, each turned over by every shingle that falls on it."""
+    odd = np.bincount((x.view(np.uint64) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def can_link(percent: int) -> Column:
+    """Whether columns a_n, b_n, a_parity, b_parity leave room for a link."""
+    differ = reduce(add, [F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(8)])
+    return (100 + percent) * differ <= (100 - percent) * (F.col("a_n") + F.col("b_n"))
+
+
 def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, percent: int) -> DataFrame:
-    """(doc_id, n, set_a, set_b, matches, prefix): set_a and set_b name the whole set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+    """(doc_id, n, set_a, set_b, matches, prefix, parity): set_a and set_b name the whole set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
     common = 1.5 * float(np.median(counts))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +138,10 @@ def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, perce
                     x = shingles(cell.as_py(), width)
                     name = xxh3_128_intdigest(x.tobytes())
                     m, kept = prefix_of(x, counts, common, bits, percent) if len(x) else (0, x)
-                    rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept))
+                    rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept, parity_of(x)))
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[1:], strict=True))], schema=schema)
 
-    return docs.mapInArrow(sign, "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>")
+    return docs.mapInArrow(sign, "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>, parity array<long>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -141,6 +159,8 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link, written: by their prefixes first, what is left by their whole sets."""
+    of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("parity").alias(f"{k}_parity"))
+    pairs = stage(pairs.join(of("a"), "a").join(of("b"), "b").where(can_link(percent)).select("a", "b"))
     of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("prefix").alias(f"{k}_keys"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     both = both.withColumn("known", F.least(F.element_at("a_keys", -1), F.element_at("b_keys", -1)))
@@ -154,41 +174,47 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     return stage(both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b").distinct())
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hub_rounds: int = 1, bits: int = SKETCH_BITS) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs: tuple[int, ...] = HUBS, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
     Null, empty and word-free texts have no shingle and link with nothing. Rows that share a doc_id count as
     one document for links, each with its own number of shingles. Rows without doc_id link with nothing and
     have no component. An empty table gives no row. Other columns are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     counts = estimates(rows, width, bits)
     signed = stage(signatures(rows, counts, width, bits, percent))
     full = signed.where("n > 0 and doc_id is not null")
     # a node is a set; its name is its smallest doc_id
-    nodes = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"))
+    nodes = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"))
     nodes = stage(nodes)
     lists = nodes.select("node", "n", "matches", F.explode("prefix").alias("token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("listed")).where("listed > 1").select("token")
     lists = stage(lists.join(shared, "token"))
-    edges, labels = None, None
-    for turn in range(hub_rounds):
-        at = lists if labels is None else mixed(with_label(lists, labels))
-        # the node that leads a list is drawn anew each turn
-        lead = at.groupBy("token").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub"))
-        best = at.join(lead, "token").where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("shared"))
-        best = best.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    edges = spark.createDataFrame([], "a long, b long")
+    labels = components(edges)
+    for turn, many in enumerate(hubs):
+        at = mixed(with_label(lists, labels)) if turn else lists
+        # the nodes that lead a list are drawn anew each turn
+        lead = at.groupBy("token").agg(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(turn), F.lit(k))) for k in range(many)]).alias("hubs"))
+        best = at.join(lead, "token").select("node", F.posexplode("hubs").alias("draw", "hub")).where("node <> hub")
+        best = best.groupBy("node", "draw", "hub").agg(F.count("*").alias("shared"))
+        best = best.groupBy("node", "draw").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
         pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         found = verified(pairs, nodes, rows, width, percent)
-        edges = found if edges is None else edges.union(found)
+        edges = edges.union(found)
         labels = stage(components(edges))
     at = stage(mixed(with_label(lists, labels)))
     heads = at.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
     at = at.join(heads, "token")
-    left = at.where("component <> main").select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("matches").alias("ma"), F.col("component").alias("ca"))
-    right = at.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("matches").alias("mb"), F.col("component").alias("cb"), "main")
-    met = left.join(right, "token").where(f"ca <> cb and (cb = main or a < b) and {percent} * na <= 100 * nb and {percent} * nb <= 100 * na")
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("ma", "mb")).alias("least"))
+    at = at.join(nodes.select("node", "parity"), "node")
+    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "matches", "component", "parity")]
+    left = at.where("component <> main").select("token", F.col("node").alias("a"), *side("a"))
+    right = at.select("token", F.col("node").alias("b"), *side("b"), "main")
+    other = F.expr("a_component <> b_component and (b_component = main or a < b)")
+    met = left.join(right, (left["token"] == right["token"]) & other & can_link(percent))
+    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("a_matches", "b_matches")).alias("least"))
     found = verified(pairs.where("shared >= least").select("a", "b"), nodes, rows, width, percent)
     labels = components(edges.union(found))
     # back from nodes to rows

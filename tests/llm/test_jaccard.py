@@ -50,8 +50,8 @@ def test_near_copies_against_all_pairs(spark):
                 text[rng.randrange(len(text))] = word().upper()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    for bits, rounds in ((19, 1), (6, 2)):  # few counters: the estimates say nothing, the result is the same
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, bits=bits, hub_rounds=rounds).collect()}
+    for bits, hubs in ((19, (1, 6)), (6, ())):  # few counters: the estimates say nothing, the result is the same
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, bits=bits, hubs=hubs).collect()}
         assert got == want
     assert sum(c != d for d, (_, c) in want.items()) > 50
 
@@ -62,7 +62,7 @@ def test_prefixes_meet():
     for _ in range(300):
         counts = rng.integers(0, 50, 64)
         n = int(rng.integers(1, 60))
-        a = np.unique(rng.integers(-(2**62), 2**62, n))
+        a = np.unique(rng.integers(-(2**63), 2**63, n))
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(-(2**62), 2**62, int(rng.integers(0, 4)))]))
         common = len(np.intersect1d(a, b))
         if len(b) and 100 * common >= 80 * (len(a) + len(b) - common):
@@ -73,7 +73,7 @@ def test_prefixes_meet():
 def test_odd_rows(spark, odd, nothing):
     got = [tuple(r) for r in jaccard_components(odd).collect()]
     assert len(got) == odd.count()
-    assert sorted(x for x in got if x[0] == 1) == [(1, 17, 1)] * 2
+    assert sorted(x for x in got if x[0] == 1) == [(1, 18, 1)] * 2
     assert {x for x in got if x[0] in (2, 3, 4)} == {(2, 0, 2), (3, 0, 3), (4, 0, 4)}
     assert all(c is None for d, _, c in got if d is None)
     assert (5, 1, 5) in got
