@@ -56,8 +56,8 @@ def text_length(value: Column) -> Column:
 def _decimal(value: Column, precision: int, scale: int) -> Column:
     trimmed = F.trim(value)
     number = F.when(trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), trimmed)
-    # parsed wide, rounded half away from zero to the declared scale, then checked for room
-    return number.try_cast("decimal(38,18)").try_cast(f"decimal({precision},{scale})")
+    # the cast reads all digits, rounds half away from zero to the scale and checks for room
+    return number.try_cast(f"decimal({precision},{scale})")
 
 
 def _float_text(value: Column, kind: str) -> Column:

@@ -1,8 +1,8 @@
 """Running totals, ranks and row ids over one global order, without a one-task window.
 
-A window without PARTITION BY runs in a single task. Here the order key is cut into ranges
-of about equal row count, the window runs inside each range, and a table with one total per
-range supplies the offsets. Only that small table is ever handled in one place.
+A window without PARTITION BY runs in a single task. Here the rows are dealt by ranges of the order
+key and written once; the window runs inside each range, and a table with one total per range
+supplies the offsets. Only that small table is ever handled in one place.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from setforge.session import cut_lineage
 from setforge.sources.inline import values
 
-MAJOR, MINOR = "__range", "__subrange"
+RANGE = "__range"
 
 
 @dataclass(frozen=True)
 class Order:
-    """One column of an order key. Numeric, date and timestamp columns can be cut into ranges."""
+    """One column of an order key."""
 
     column: str
     descending: bool = False
@@ -65,45 +66,20 @@ def count_cuts(value: Column, cuts: Sequence, inclusive: bool, kind: str = "bigi
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-def _quantiles(df: DataFrame, column: str, ranges: int) -> list[str]:
-    """Ascending cut points as texts, so that they return to the column's type unchanged."""
-    points = [i / ranges for i in range(1, ranges)]
-    if not points:
-        return []
-    accuracy = max(10_000, 10 * ranges)
-    return df.agg(F.percentile_approx(column, points, accuracy).cast("array<string>")).first()[0] or []
-
-
 def default_ranges(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_range(df: DataFrame, order: list[Order], ranges: int | None = None) -> DataFrame:
-    """Add two range columns that follow the order key.
+    """``df`` written with a range number that follows the order key.
 
-    A leading value that fills several ranges on its own (a hot value) is isolated and cut
-    again by the second order column, so no range depends on how often one value occurs.
+    All order columns, of any type that sorts, take part in the cut, so a hot leading value is split by the
+    columns after it. ``df`` itself is computed once: the sample for the cut points and the rows come
+    from its written copy, and so does every later reader of the ranges.
     """
-    ranges = ranges or default_ranges(df)
-    lead = order[0]
-    points = _quantiles(df, lead.column, ranges)
-    cuts = list(dict.fromkeys(points))
-    hot = list(dict.fromkeys(a for a, b in zip(points, points[1:]) if a == b))
-    kinds = dict(df.dtypes)
-    x, kind = F.col(lead.column), kinds[lead.column]
-    # below + at-or-below: even for values between cuts, odd for a value equal to a cut
-    code = count_cuts(x, cuts, False, kind) + count_cuts(x, cuts, True, kind)
-    major = F.coalesce(code, F.lit(-1))
-    minor = F.lit(0)
-    if len(order) > 1:
-        tie = order[1]
-        crowded = F.coalesce(F.array_contains(cut_table(hot, kind), x), F.lit(True)) if hot else x.isNull()
-        tie_cuts = list(dict.fromkeys(_quantiles(df.filter(crowded), tie.column, ranges)))
-        if tie_cuts:
-            t = F.col(tie.column)
-            below = F.coalesce(count_cuts(t, tie_cuts, False, kinds[tie.column]), F.lit(-1))
-            minor = F.when(crowded, -below if tie.descending else below).otherwise(0)
-    return df.withColumn(MAJOR, -major if lead.descending else major).withColumn(MINOR, minor)
+    sorts = [o.sort for o in order]
+    ranged = cut_lineage(df).repartitionByRange(ranges or default_ranges(df), *sorts)
+    return cut_lineage(ranged.withColumn(RANGE, F.spark_partition_id()))
 
 
 @dataclass(frozen=True)
@@ -127,35 +103,34 @@ def running_totals(
 ) -> RunningTotals:
     """Exclusive and inclusive running sums. The order key must be unique; NULL counts as 0."""
     order = as_order(order_by)
-    ranged = with_range(df, order, ranges)
     amount = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0))
     if isinstance(value, str) and dict(df.dtypes)[value] in ("tinyint", "smallint", "int"):
         amount = amount.cast("bigint")
+    ranged = with_range(df, order, ranges)
     totals = (
-        ranged.groupBy(MAJOR, MINOR)
+        ranged.groupBy(RANGE)
         .agg(F.sum(amount).alias("total"), F.min(amount).alias("low"), F.max((amount == 0).cast("int")).alias("zero"))
-        .orderBy(MAJOR, MINOR)
+        .orderBy(RANGE)
         .collect()  # one row per range, not per input row
     )
     ends = list(accumulate(r.total for r in totals))
-    spark = df.sparkSession
     kind = ranged.select(F.sum(amount).alias("total")).schema["total"].dataType.simpleString()
     offsets = values(
-        spark,
-        [(r[MAJOR], r[MINOR], end - r.total) for r, end in zip(totals, ends)],
-        {MAJOR: "int", MINOR: "int", "__offset": kind},
+        df.sparkSession,
+        [(r[RANGE], end - r.total) for r, end in zip(totals, ends)],
+        {RANGE: "int", "__offset": kind},
     )
     inside = (
-        Window.partitionBy(MAJOR, MINOR)
+        Window.partitionBy(RANGE)
         .orderBy(*[o.sort for o in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = (
         ranged.withColumn(after, F.sum(amount).over(inside))
-        .join(F.broadcast(offsets), [MAJOR, MINOR])  # bounded by the number of ranges
+        .join(F.broadcast(offsets), RANGE)  # bounded by the number of ranges
         .withColumn(after, F.col(after) + F.col("__offset"))
         .withColumn(before, F.col(after) - amount)
-        .drop(MAJOR, MINOR, "__offset")
+        .drop(RANGE, "__offset")
     )
     lows = [r.low for r in totals]
     return RunningTotals(rows, ends, min(lows) if lows else None, any(r.zero for r in totals), kind)

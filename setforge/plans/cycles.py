@@ -58,11 +58,11 @@ def cycle_members(edges: DataFrame, id: str = "id", parent: str = "parent_id") -
 
 
 def find_cycles(
-    edges: DataFrame, id: str = "id", parent: str = "parent_id", limit: int | None = 100
+    edges: DataFrame, id: str = "id", parent: str = "parent_id", limit: int | None = None
 ) -> DataFrame:
     """(start_id, path): per start the walk down its cycle, ``a -> b -> ... -> start``.
 
-    Highest start ids first, at most ``limit`` rows (None: all). One path text names a whole
+    All starts, or the ``limit`` highest ids, highest first. One path text names a whole
     cycle, so a row is as long as its cycle; ``cycle_members`` is the form for huge cycles.
     """
     members = cycle_members(edges, id, parent)

@@ -62,7 +62,14 @@ def layer_tokens(layers: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def pivot_layers(chosen: DataFrame, tokens: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per (price list, product) with one percent column per token; missing layers are 0."""
+    """One row per (price list, product) with one percent column per token; missing layers are 0.
+
+    A layer in use whose token has no column would be lost, so it is refused.
+    """
+    used = chosen.select("DLayerID").distinct().join(tokens, "DLayerID")
+    strange = sorted({r.token for r in used.filter(~F.col("token").isin(list(columns))).collect()})  # configured layers only
+    if strange:
+        raise ValueError(f"layers without a column: {', '.join(strange)}")
     named = chosen.join(tokens, "DLayerID", "left").select(*PAIR, "token", "DiscountPercent")
     wide = named.groupBy(*PAIR).pivot("token", list(columns)).agg(F.max("DiscountPercent"))
     zero = F.lit(0).cast(PERCENT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setforge.operators.merge import delete_where, merge_snapshot
+from setforge.operators.merge import delete_where, merge_snapshot, merged_rows
 from setforge.operators.rules import has_flag
 from setforge.operators.temporal import opt_eq
 
@@ -34,10 +34,19 @@ def negative_prices(prices: DataFrame, products: DataFrame) -> DataFrame:
     return prices.filter(F.col("Price") < 0).join(names, "ProductID").select("ProductID", "PrNomer", "PolType", "Price")
 
 
+class NegativePrices(ValueError):
+    """Raised with the number of rows below zero; ``rows`` lists them all."""
+
+    def __init__(self, column: str, count: int, rows: DataFrame):
+        self.count, self.rows = count, rows
+        super().__init__(f"{count} rows with negative {column}; see .rows")
+
+
 def assert_non_negative(prices: DataFrame, column: str = "Price") -> None:
-    bad = prices.filter(F.col(column) < 0).limit(5).collect()
-    if bad:
-        raise ValueError(f"negative {column}: {[tuple(r) for r in bad]}")
+    bad = prices.filter(F.col(column) < 0)
+    count = bad.count()
+    if count:
+        raise NegativePrices(column, count, bad)
 
 
 def publish_prices(
@@ -55,3 +64,18 @@ def publish_prices(
         ["Price", "NDSID", "Status"],
         delete_when=calculated(),
     )
+
+
+def new_prices_after(kept: DataFrame, prices: DataFrame, date: Column) -> DataFrame:
+    """All rows of the date in the new price table after a run: what stays and what was calculated."""
+    stays = kept.filter(F.col("Data") == date)
+    return stays.unionByName(prices.select(*[c for c in stays.columns if c in prices.columns]), allowMissingColumns=True).select(*stays.columns)
+
+
+def archive_after(archive: DataFrame, merged: DataFrame, date: Column, price_list: int | None = None) -> DataFrame:
+    """All rows of the date in the archive after a run: the merge, and other price lists as they were."""
+    fresh = merged_rows(merged)
+    of_date = archive.filter(F.col("Data") == date).select(*ARCHIVE_COLUMNS)
+    if price_list is None:
+        return fresh
+    return fresh.unionByName(of_date.filter(~F.col("PolType").eqNullSafe(F.lit(price_list))))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date as Date
 from functools import cached_property, reduce
 
@@ -15,6 +15,7 @@ from setforge.operators.temporal import latest_as_of, opt_eq
 from setforge.plans.pricing import changes, discounts, prices, publish, scope
 from setforge.plans.pricing.prices import FormulaPart
 from setforge.session import cut_lineage
+from setforge.sources.tables import append, replace_partitions
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ def check_layers(config: PriceConfig, t: dict[str, DataFrame]) -> None:
     """The formula must not use the reserved layers (a handful of tokens comes back)."""
     tokens = discounts.layer_tokens(t["layers"], t["layer_groups"])
     text = " ".join(f"{p.part}*{p.group}" for p in config.parts)
-    bad = discounts.forbidden_tokens(tokens, [config.base_layer, config.fix_layer], text).limit(5).collect()
+    bad = discounts.forbidden_tokens(tokens, [config.base_layer, config.fix_layer], text).collect()
     if bad:
         raise ValueError(f"the formula uses reserved layers: {[r.token for r in bad]}")
 
@@ -188,7 +189,7 @@ def run_log(s: PriceStages, published: bool) -> DataFrame:
     parts = [
         lines(change_summary(s.feed, "ChangeBy"), "changes", F.col("ChangeBy"), "n"),
         lines(s.work.agg(F.count_distinct("ProductID").alias("n")), "work", F.lit("products"), "n"),
-        *[lines(counters, "quality", F.lit(c), c) for c in ("no_tax", "no_base", "ready")],
+        lines(counters.select(F.expr("stack(3, 'no_tax', no_tax, 'no_base', no_base, 'ready', ready) AS (name, n)")), "quality", F.col("name"), "n"),
         lines(s.prices.agg(F.count(F.lit(1)).alias("n")), "prices", F.lit("rows"), "n"),
     ]
     if published:
@@ -207,6 +208,22 @@ class PriceRun:
     log: DataFrame
 
 
+@dataclass(frozen=True)
+class PriceTargets:
+    """Folders a run writes to: tables partitioned by Data, the log, and a folder for finished parts."""
+
+    new_prices: str
+    archive: str
+    log: str
+    staging: str
+
+
+def config_from_tables(config: PriceConfig, t: dict[str, DataFrame]) -> PriceConfig:
+    """``config`` with the reserved layers that the layer table marks (two rows come back)."""
+    found = {r.DLayerStatus: r.DLayerID for r in reserved_layers(t["layers"]).collect()}
+    return replace(config, base_layer=found.get(1, config.base_layer), fix_layer=found.get(2, config.fix_layer))
+
+
 def price_run(
     t: dict[str, DataFrame],
     config: PriceConfig,
@@ -215,13 +232,31 @@ def price_run(
     price_list: int | None = None,
     product: int | None = None,
     today: Date | None = None,
+    targets: PriceTargets | None = None,
 ) -> PriceRun:
-    """Check, calculate and guard; the caller writes ``prices`` and, when publishing, ``merged``.
+    """Check, calculate, guard, and write to ``targets`` if they are given.
 
-    Without ``make_change`` there is no merge, as in a trial run.
+    The guard reads all new prices of the date, kept rows included. Without ``make_change`` there is no
+    merge and the archive stays, as in a trial run.
     """
     check_params(config, calc_date, make_change, today or Date.today())
+    config = config_from_tables(config, t)
     check_layers(config, t)
     s = PriceStages(t, config, calc_date, price_list, product)
-    publish.assert_non_negative(opt_eq(s.prices, "PolType", price_list))
-    return PriceRun(s.prices, s.kept, s.merged if make_change else None, run_log(s, make_change))
+    after = publish.new_prices_after(s.kept, s.prices, F.lit(calc_date))
+    publish.assert_non_negative(opt_eq(after, "PolType", price_list))
+    result = PriceRun(s.prices, s.kept, s.merged if make_change else None, run_log(s, make_change))
+    if targets is not None:
+        write_run(t, result, after, calc_date, price_list, targets)
+    return result
+
+
+def write_run(t: dict[str, DataFrame], result: PriceRun, new_prices: DataFrame, calc_date: Date, price_list: int | None, targets: PriceTargets) -> None:
+    """Replace the date's partition of both tables, also where no row is left, and append to the log."""
+    touched, date = [{"Data": calc_date}], F.lit(calc_date)
+    log = cut_lineage(result.log.withColumn("Data", date))  # counted before the archive changes
+    replace_partitions(new_prices, targets.new_prices, f"{targets.staging}/new_prices", ["Data"], touched)
+    if result.merged is not None:
+        archive = publish.archive_after(t["archive"], result.merged, date, price_list)
+        replace_partitions(archive, targets.archive, f"{targets.staging}/archive", ["Data"], touched)
+    append(log, targets.log)

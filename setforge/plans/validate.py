@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setforge.functions.tsql_types import DeclaredType, converted_text, text_length
+from setforge.functions.tsql_types import KNOWN, DeclaredType, converted_text, text_length
 
 # Error codes and texts.
 UNKNOWN_TYPE, NO_ERROR, EMPTY, WRONG_TYPE, TOO_LONG = -1, 0, 2, 3, 4
@@ -24,7 +24,6 @@ TYPE_TEXT = {
     "строка\\текст (или символ)": ("varchar", "char", "nvarchar", "text", "ntext", "sysname"),
     GUID_TEXT: ("uniqueidentifier",),
 }
-MAX_COLUMNS = 16_384  # columns of a sheet
 
 
 @dataclass(frozen=True)
@@ -35,13 +34,25 @@ class ColumnRule:
 
 
 def rules_from(df: DataFrame) -> list[ColumnRule]:
-    """Rules as a list; there is one per sheet column, and more than a sheet has is refused."""
-    rows = df.select("Num", "TypeFName", "Nullable").limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError("more column rules than a sheet has columns")
+    """Rules as a list: one per column of a sheet."""
+    rows = df.select("Num", "TypeFName", "Nullable").collect()
     return sorted((ColumnRule(r.Num, r.TypeFName, r.Nullable) for r in rows), key=lambda r: r.num)
 
 
+class UnknownTypes(ValueError):
+    """Raised with the rules whose type is not known."""
+
+    def __init__(self, rules: Sequence[ColumnRule]):
+        self.rules = list(rules)
+        super().__init__("unknown types: " + ", ".join(f"column {r.num}: {r.type_name}" for r in self.rules))
+
+
+def unknown_types(rules: DataFrame) -> DataFrame:
+    """(Num, TypeFName, ErrorCode) of the rules whose declared type is not known."""
+    name = F.regexp_extract(F.lower(F.trim("TypeFName")), r"^([a-z_0-9]+)\s*(\(\s*\w+\s*(,\s*\d+\s*)?\))?$", 1)
+    return rules.where(~F.coalesce(name.isin(*KNOWN), F.lit(False))).select("Num", "TypeFName", F.lit(UNKNOWN_TYPE).alias("ErrorCode"))
+
+
 def type_text(name: str) -> str:
     if "date" in name:
         return "дата"
@@ -79,20 +90,24 @@ def pivot_cells(cells: DataFrame, columns: Sequence[int], keys: Sequence[str] =
     return cells.groupBy(*keys).agg(*picks)
 
 
-def validate_cells(cells: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] = ("RN",)) -> DataFrame:
+def validate_cells(cells: DataFrame, rules: Sequence[ColumnRule], keys: Sequence[str] | None = None) -> DataFrame:
     """Error rows ``(keys, ErrorCode, RowNum, CellNum, CellName, CellValue, ErrorRus, ErrorMessage,
     TypeFName, TypeName, Scale)``.
 
     A row's missing cell counts as empty, cells of columns without a rule are ignored, and a row
-    number met twice (two sheets) is one row with the larger value. Add the file to ``keys`` to
-    check many workbooks at once. All columns are checked in one pass over one aggregate.
+    number met twice (two sheets) is one row with the larger value. ``keys`` tell rows apart: by
+    default RN, and the workbook's ``source`` if the cells have one, so workbooks never mix. All columns
+    are checked in one pass over one aggregate. UnknownTypes names columns of types not known, if there
+    is a cell to check.
     """
+    if keys is None:
+        keys = [*(c for c in ("source",) if c in cells.columns), "RN"]
     if not rules:
         raise ValueError("no column types given")
     declared = {r.num: DeclaredType.parse(r.type_name) for r in rules}
-    unknown = sorted({d.name for d in declared.values() if not d.known})
-    if unknown:
-        raise ValueError(f"unknown types: {', '.join(unknown)}")
+    unknown = [r for r in rules if not declared[r.num].known]
+    if unknown and not cells.isEmpty():
+        raise UnknownTypes(unknown)
     wide = pivot_cells(cells, [r.num for r in rules], keys)
     # conversions are the costly part, so each gets a column of its own before it is tested twice
     wide = wide.withColumns({f"to_{r.num}": converted_text(F.col(f"CV_{r.num}"), declared[r.num]) for r in rules})

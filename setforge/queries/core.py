@@ -48,11 +48,17 @@ def q_allocate(spark, sf_dir):
 
 
 registry.add("allocate", q_allocate, f"""
-    WITH b AS (SELECT *, CAST(sum(qty) OVER (ORDER BY boxid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS b_aft FROM ({plain(SUPPLY, "lineitem")})),
-         p AS (SELECT *, CAST(sum(qty) OVER (ORDER BY pid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS p_aft FROM ({plain(DEMAND, "orders")})),
-         m AS (SELECT boxid, pid, b_aft - b.qty AS b_bef, b_aft, p_aft - p.qty AS p_bef, p_aft, p.qty AS pqty, b.qty AS bqty FROM b, p
-               WHERE (b_aft >= p_aft - p.qty + 1 AND b_aft <= p_aft) OR (p_aft >= b_aft - b.qty + 1 AND p_aft <= b_aft))
-    SELECT *, least(p_aft, b_aft) - greatest(p_bef, b_bef) AS "get" FROM m""")
+    WITH boxes AS (SELECT boxid, qty, sum(qty) OVER (ORDER BY boxid) AS total FROM ({plain(SUPPLY, "lineitem")})),
+    buyers AS (SELECT pid, qty, sum(qty) OVER (ORDER BY pid) AS total FROM ({plain(DEMAND, "orders")})),
+    spans AS (
+        SELECT boxid, pid, CAST(boxes.total - boxes.qty AS BIGINT) AS b_bef, CAST(boxes.total AS BIGINT) AS b_aft,
+               CAST(buyers.total - buyers.qty AS BIGINT) AS p_bef, CAST(buyers.total AS BIGINT) AS p_aft, buyers.qty AS pqty, boxes.qty AS bqty
+        FROM boxes CROSS JOIN buyers)
+    SELECT boxid, pid, b_bef, b_aft, p_bef, p_aft, pqty, bqty, least(b_aft, p_aft) - greatest(b_bef, p_bef) AS "get" FROM spans
+    WHERE CASE WHEN bqty > 0 AND pqty > 0 THEN greatest(b_bef, p_bef) < least(b_aft, p_aft)
+               WHEN bqty = 0 AND pqty = 0 THEN FALSE
+               WHEN bqty = 0 THEN p_bef < b_aft AND b_aft <= p_aft
+               ELSE b_bef < p_aft AND p_aft <= b_aft END""")
 
 
 def q_prefix_inclusive(spark, sf_dir):
@@ -223,7 +229,7 @@ registry.add("pick_by_priority", q_priority, """
 
 PAIRS = "SELECT DISTINCT l_suppkey % 25 AS lst, l_partkey AS prod, l_orderkey % 50 AS setting FROM {lineitem}"
 CHANGES = """SELECT o_custkey % 25 AS lst, CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS prod,
-    CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 50 END AS setting FROM {orders} WHERE o_orderkey % 12 > 0"""
+    CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 50 END AS setting FROM {orders}"""
 
 
 def q_wildcard(spark, sf_dir):
@@ -282,25 +288,30 @@ def _ring(spark, sf_dir):
 
 
 RING = "SELECT p_partkey AS id, (p_partkey * p_partkey + 1) % (SELECT count(*) FROM part) AS parent_id FROM part"
-WALK = f"""WITH RECURSIVE e AS ({RING}), w AS (
-    SELECT parent_id AS start_id, id, CAST(id AS VARCHAR) AS path FROM e
-    UNION ALL SELECT w.start_id, e.id, w.path || ' -> ' || e.id FROM w JOIN e ON e.parent_id = w.id WHERE w.start_id <> w.id)"""
+# a part lies on a cycle when it is among the parts it reaches; those parts are then its cycle
+ON_CYCLE = f"""WITH RECURSIVE links AS ({RING}),
+    reach AS (SELECT id AS start_id, parent_id AS met FROM links
+              UNION SELECT reach.start_id, links.parent_id FROM reach JOIN links ON links.id = reach.met),
+    named AS (SELECT start_id AS id, min(met) AS cycle_id, count(*) AS size FROM reach GROUP BY start_id HAVING bool_or(met = start_id)),
+    climb AS (SELECT id, cycle_id, size, id AS here, CAST(0 AS BIGINT) AS pos FROM named
+              UNION ALL SELECT climb.id, cycle_id, size, links.parent_id, pos + 1 FROM climb JOIN links ON links.id = climb.here WHERE climb.here <> cycle_id),
+    members AS (SELECT id, cycle_id, size, pos FROM climb WHERE here = cycle_id)"""
 
 
 def q_cycles(spark, sf_dir):
-    return find_cycles(_ring(spark, sf_dir))
+    return find_cycles(_ring(spark, sf_dir), limit=100)
 
 
-registry.add("find_cycles", q_cycles, f"{WALK} SELECT start_id, path FROM w WHERE start_id = id ORDER BY id DESC LIMIT 100")
+registry.add("find_cycles", q_cycles, f"""
+    {ON_CYCLE} SELECT s.id AS start_id, string_agg(CAST(m.id AS VARCHAR), ' -> ' ORDER BY (m.pos - s.pos - 1 + s.size) % s.size) AS path
+    FROM members s JOIN members m ON m.cycle_id = s.cycle_id GROUP BY s.id ORDER BY s.id DESC LIMIT 100""")
 
 
 def q_cycle_members(spark, sf_dir):
-    return cycle_members(_ring(spark, sf_dir)).select("id", "cycle_id")
+    return cycle_members(_ring(spark, sf_dir)).select("id", "cycle_id", "pos")
 
 
-registry.add("cycle_members", q_cycle_members, f"""
-    {WALK}, c AS (SELECT start_id, unnest(string_split(path, ' -> ')) AS step FROM w WHERE start_id = id)
-    SELECT start_id AS id, min(CAST(step AS BIGINT)) AS cycle_id FROM c GROUP BY 1""")
+registry.add("cycle_members", q_cycle_members, f"{ON_CYCLE} SELECT id, cycle_id, pos FROM members")
 
 TREE = "SELECT p_partkey AS id, CASE WHEN p_partkey > 1 THEN CAST(floor(p_partkey / 2) AS BIGINT) END AS parent_id FROM {part}"
 

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from setforge.operators.merge import change_summary
 from setforge.plans.pricing import changes, discounts, prices, run, scope
 from setforge.plans.pricing.prices import FormulaPart
+from setforge.plans.pricing.publish import ARCHIVE_COLUMNS
 from setforge.plans.pricing.run import PriceConfig
 from setforge.queries import price_tables as pt
-from setforge.queries.price_oracle import RUN_SYSTEM, stage_sql
+from setforge.queries.price_oracle import FORMULA_SYSTEM, RUN_SYSTEM, stage_sql
 from setforge.queries.registry import Registry
+from setforge.session import new_folder
 
 CALC_DATE = date(1998, 6, 15)
 PARTS = [
@@ -53,11 +55,11 @@ def _flat(df: DataFrame) -> DataFrame:
 _stages: dict[tuple, run.PriceStages] = {}
 
 
-def stages_of(spark: SparkSession, sf_dir: str, mode: str = "any") -> run.PriceStages:
+def stages_of(spark: SparkSession, sf_dir: str, mode: str = "any", system: int = RUN_SYSTEM) -> run.PriceStages:
     """The stages of one run, shared by the queries of a session: each stage is built once."""
-    key = (spark.sparkContext.applicationId, sf_dir, mode)
+    key = (spark.sparkContext.applicationId, sf_dir, mode, system)
     if key not in _stages:
-        config = CONFIG if mode == "any" else replace(CONFIG, rule_mode=mode)
+        config = replace(CONFIG, rule_mode=mode, system=system)
         _stages[key] = run.PriceStages(pt.price_tables(spark, sf_dir), config, CALC_DATE)
     return _stages[key]
 
@@ -67,15 +69,15 @@ def forget_stages() -> None:
     _stages.clear()
 
 
-def _stage(name: str, kinds: dict[str, str], key: str, mode: str = "any") -> None:
+def _stage(name: str, kinds: dict[str, str], key: str, mode: str = "any", system: int = RUN_SYSTEM) -> None:
     """Register stage ``name`` as query ``key``; ``kinds`` gives the columns and their oracle types."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _flat(getattr(stages_of(spark, sf_dir, mode), name).select(*kinds))
+        return _flat(getattr(stages_of(spark, sf_dir, mode, system), name).select(*kinds))
 
     columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in kinds.items())
     source = {"layers": "wide"}.get(name, name)
-    registry.add(key, query, stage_sql(source, f"SELECT {columns} FROM {source}", mode))
+    registry.add(key, query, stage_sql(source, f"SELECT {columns} FROM {source}", mode, system))
 
 
 L, D, V = "BIGINT", "DOUBLE", "VARCHAR"
@@ -91,6 +93,8 @@ _stage("resolved", {**PAIR, "DSettingID": L}, "price_resolved_settings_reference
 _stage("blocked", {**PAIR, "BlockNow": L}, "price_blocked_products")
 _stage("candidates", {**PAIR, "DSettingID": L, "BlockNow": L}, "price_candidate_products")
 _stage("feed", {**PAIR, "ChangeBy": V, "DSettingID": L}, "price_change_feed")
+_stage("feed", {**PAIR, "ChangeBy": V, "DSettingID": L}, "price_change_feed_formula", system=FORMULA_SYSTEM)
+_stage("work", {**PAIR, "IsBlock": L}, "price_work_list_formula", system=FORMULA_SYSTEM)
 _stage("work", {**PAIR, "IsBlock": L}, "price_work_list")
 _stage("fixed", {**PAIR, "DSettingID": L, "FixPrice": D}, "price_fixed_by_priority")
 _stage("chosen", {**PAIR, "DSettingID": L, "DLayerID": L, "DiscountPercent": D}, "price_layers_by_priority")
@@ -100,7 +104,7 @@ _stage("base", {**PAIR, "BasePrice": D, "FilialBasePrice": D, "DiscountPercent":
 _stage(
     "ready",
     {**PAIR, "NDS": L, "NDSID": L, "BasePrice": D, "CurrID": L, "PricePolStatus": L, "FixPrice": D, "IsDiscountEnd": L,
-     "IsBlock": L, "L11": D, "L22": D, "L33": D},
+     "IsBlock": L, "L11": D, "L22": D, "L33": D, "L14": D},
     "price_ready_rows",
 )
 _stage(
@@ -257,6 +261,56 @@ registry.add(
 )
 
 
+def _tables_after(spark: SparkSession, sf_dir: str) -> run.PriceTargets:
+    """Both stored tables written anew, and changed by a run."""
+    folder = new_folder(spark, "prices")
+    targets = run.PriceTargets(f"{folder}/new_prices", f"{folder}/archive", f"{folder}/log", f"{folder}/staging")
+    t = _tables(spark, sf_dir)
+    t["archive"].write.partitionBy("Data").parquet(targets.archive)
+    t["new_prices"].write.partitionBy("Data").parquet(targets.new_prices)
+    t = {**t, "archive": spark.read.parquet(targets.archive), "new_prices": spark.read.parquet(targets.new_prices)}
+    run.price_run(t, CONFIG, CALC_DATE, make_change=True, today=date(1998, 6, 14), targets=targets)
+    return targets
+
+
+def archive_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive read back after the run wrote it."""
+    return _flat(spark.read.parquet(_tables_after(spark, sf_dir).archive).select("PolType", "ProductID", "Data", "Price", "Status"))
+
+
+registry.add(
+    "price_archive_after",
+    archive_after,
+    stage_sql(
+        "merged",
+        f"""SELECT CAST(PolType AS BIGINT) AS PolType, CAST(ProductID AS BIGINT) AS ProductID, CAST(Data AS VARCHAR) AS Data,
+            CAST(Price AS DOUBLE) AS Price, CAST(Status AS BIGINT) AS Status FROM archive WHERE Data <> {pt.CALC}
+        UNION ALL SELECT m.PolType, m.ProductID, CAST({pt.CALC} AS VARCHAR), CAST(m.Price AS DOUBLE),
+            CASE WHEN m.action IN ('INSERT', 'UPDATE') THEN n.Status ELSE a.Status END
+        FROM merged m LEFT JOIN prices n ON n.PolType = m.PolType AND n.ProductID = m.ProductID
+        LEFT JOIN archive a ON a.PolType = m.PolType AND a.ProductID = m.ProductID AND a.Data = {pt.CALC}
+        WHERE m.action <> 'DELETE'""",
+    ),
+)
+
+
+def new_table_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of new prices read back after the run wrote it."""
+    return _flat(spark.read.parquet(_tables_after(spark, sf_dir).new_prices).select("PolType", "ProductID", "Data", "Price", "Status"))
+
+
+registry.add(
+    "price_new_table_after",
+    new_table_after,
+    stage_sql(
+        "kept",
+        """SELECT CAST(PolType AS BIGINT) AS PolType, CAST(ProductID AS BIGINT) AS ProductID, CAST(Data AS VARCHAR) AS Data,
+            CAST(Price AS DOUBLE) AS Price, CAST(Status AS BIGINT) AS Status FROM kept
+        UNION ALL SELECT PolType, ProductID, CAST(Data AS VARCHAR), CAST(Price AS DOUBLE), Status FROM prices""",
+    ),
+)
+
+
 def missing_base_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = stages_of(spark, sf_dir)
     return prices.missing_report(stages.base, "BasePrice", stages.t["products"])

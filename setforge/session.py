@@ -30,12 +30,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="setforge-checkpoint-")
     context.setCheckpointDir(folder)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the checkpoint folder that nothing uses yet."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder and go on from there.
 
@@ -44,7 +50,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     scan, and the planner knows the size.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "stage")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -1,29 +1,41 @@
-"""Reading given tables and writing results."""
+"""Writing results."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
-
-
-def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
+from pyspark.sql import functions as F
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, staging: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions ``df`` has rows for.
+def replace_partitions(df: DataFrame, path: str, staging: str, partition_by: Sequence[str], touched: Sequence[dict] = ()) -> None:
+    """Overwrite the partitions ``df`` has rows for, and those in ``touched``, which may have none left.
 
-    ``df`` may read ``path`` itself, so it is written to ``staging`` first; the second write
-    only copies finished files' rows and can be repeated after a failure.
+    A touched partition without rows is dropped; all others stay as they are. ``df`` may read
+    ``path`` itself, so it is written to ``staging`` first; the second write only copies finished files'
+    rows and can be repeated after a failure.
     """
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
+    spark = df.sparkSession
+    staged = spark.read.schema(df.schema).parquet(staging)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    text = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for values in touched:
+        if staged.where(reduce(and_, [F.col(c).eqNullSafe(F.lit(values[c])) for c in partition_by])).isEmpty():
+            names = [text.getPartitionPathString(c, None if values[c] is None else str(values[c])) for c in partition_by]
+            remove_folder(spark, "/".join([path, *names]))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reaches; nothing happens if there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:

@@ -4,34 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CELL_LENGTH, NAME_LENGTH = 300, 10  # fixed values: stored length of a cell and of its name
+CELL_LENGTH, NAME_LENGTH = 300, 10  # fixed values: stored length of a cell and of its name in reference mode
 
 ROW_SCHEMA = "_i int, Cell array<struct<_i: int, _n: string, _VALUE: string>>"
 RULES_SCHEMA = "Column array<struct<_i: int, _type: string, _nullable: string>>"
 NAMES_SCHEMA = "Table array<struct<_Name: string>>"
 
 
-def read_cells(spark: SparkSession, path: str, row_xsd: str | None = None) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, row_xsd: str | None = None, mode: str = "whole") -> DataFrame:
     """(source, RN, CN, CNN, CV) from workbooks of Sheet / Row / Cell elements.
 
+    Texts are whole; mode "reference" cuts cells and names to the lengths its tables store.
+
     The schema is stated: inference would read a column of digits as numbers. ``row_xsd``
     names a schema file every row must fit; a row that does not stops the read.
     """
     reader = spark.read.format("xml").option("rowTag", "Row").schema(ROW_SCHEMA)
     if row_xsd is not None:
         reader = reader.option("rowValidationXSDPath", row_xsd).option("mode", "FAILFAST")
+    if mode not in ("whole", "reference"):
+        raise ValueError(f"mode: {mode}")
     rows = reader.load(path)
     cells = rows.select(F.col("_metadata.file_path").alias("source"), F.col("_i").alias("RN"), F.explode("Cell").alias("c"))
-    return cells.select(
-        "source",
-        "RN",
-        F.col("c._i").alias("CN"),
-        F.substring("c._n", 1, NAME_LENGTH).alias("CNN"),
-        F.substring(F.coalesce("c._VALUE", F.lit("")), 1, CELL_LENGTH).alias("CV"),
-    )
+    name, value = F.col("c._n"), F.coalesce("c._VALUE", F.lit(""))
+    if mode == "reference":
+        name, value = F.substring(name, 1, NAME_LENGTH), F.substring(value, 1, CELL_LENGTH)
+    return cells.select("source", "RN", F.col("c._i").alias("CN"), name.alias("CNN"), value.alias("CV"))
 
 
 def rules_from_xml(df: DataFrame, column: str) -> DataFrame:
@@ -51,16 +52,24 @@ def names_from_xml(df: DataFrame, column: str) -> DataFrame:
 ERROR_ATTRIBUTES = ["ErrorCode", "RowNum", "CellNum", "CellName", "CellValue", "ErrorRus", "ErrorMessage"]
 
 
-def errors_to_xml(errors: DataFrame, block_rows: int = 10_000, keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, block, xml): ``<Errors ErrorCount=..><Error .../>...</Errors>`` in blocks of rows.
+def errors_to_xml(errors: DataFrame, block_rows: int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    """(keys, block, xml): ``<Errors ErrorCount=..><Error .../>...</Errors>``, one document per workbook.
 
-    One document over all errors would be one row of unbounded size, so errors go out in
-    blocks by row number; every block states its own count. Name the file in ``keys`` when
-    the errors come from many workbooks, so that their rows do not share a block.
+    ``keys`` name the workbook; by default the column ``source``, if there is one. ErrorCount is the
+    workbook's number of errors. A workbook too large for one document can go out in blocks of
+    ``block_rows`` row numbers; ErrorCount is then still the whole number, and HeldCount the block's own.
     """
+    if keys is None:
+        keys = [c for c in ("source",) if c in errors.columns]
     item = F.struct(*[F.col(c).cast("string").alias(f"_{c}") for c in ERROR_ATTRIBUTES])
-    blocks = errors.groupBy(*keys, F.floor(F.col("RowNum") / block_rows).cast("bigint").alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct("CellNum", "RowNum", item.alias("item")))).alias("items")
+    block = F.floor(F.col("RowNum") / block_rows).cast("bigint") if block_rows else F.lit(0).cast("bigint")
+    blocks = errors.groupBy(*keys, block.alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("RowNum", "CellNum", item.alias("item")))).alias("items")
     )
-    root = F.struct(F.size("items").alias("_ErrorCount"), F.transform("items", lambda e: e["item"]).alias("Error"))
-    return blocks.select(*keys, "block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))
+    total = F.size("items").cast("bigint")
+    if block_rows:
+        total = F.sum(total).over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
+    held = [F.size("items").alias("_HeldCount")] if block_rows else []
+    counted = blocks.withColumn("total", total)
+    root = F.struct(F.col("total").alias("_ErrorCount"), *held, F.transform("items", lambda e: e["item"]).alias("Error"))
+    return counted.select(*keys, "block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))

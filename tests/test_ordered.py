@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from setforge.operators.ordered import Order, count_cuts, prefix_sum, rank_global, with_row_id
+from setforge.operators.ordered import RANGE, Order, as_order, count_cuts, prefix_sum, rank_global, with_range, with_row_id
 
 
 def test_count_cuts(spark):
@@ -33,12 +33,37 @@ def test_rank_with_hot_leading_value(spark):
         assert got == {i: n for n, (_, i) in enumerate(order, 1)}
 
 
-def test_hot_value_is_cut_by_second_column(spark):
-    from setforge.operators.ordered import MAJOR, MINOR, as_order, with_range
+def test_hot_values_are_cut_by_later_columns(spark):
+    df = spark.range(1000).select(F.lit(1).alias("k"), F.lit("x").alias("l"), "id")
+    sizes = [r["count"] for r in with_range(df, as_order(["k", "l", "id"]), 8).groupBy(RANGE).count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 250
 
-    df = spark.range(1000).select(F.lit(1).alias("k"), "id")
-    sizes = [r["count"] for r in with_range(df, as_order(["k", "id"]), 8).groupBy(MAJOR, MINOR).count().collect()]
-    assert len(sizes) >= 8 and max(sizes) < 200
+
+def test_input_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).repartition(3).mapInArrow(count, "id long")
+    assert prefix_sum(df, "id", "id", out="t", ranges=5).agg(F.max("t")).first()[0] == 499500
+    assert seen.value == 1000
+
+
+def test_text_keys_and_plans(spark):
+    rows = [(f"k{i:03d}"[::-1], i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, q int")
+    got = {r.k: r.t for r in prefix_sum(df, "q", "k", out="t", ranges=4).collect()}
+    total, want = 0, {}
+    for k, q in sorted(rows):
+        total += q
+        want[k] = total
+    assert got == want
+    for result in (prefix_sum(df, "q", "k", ranges=4), rank_global(df, "k", ranges=4)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_row_ids_are_dense(spark):
