@@ -102,15 +102,19 @@ registry.add("cells_through_xml", q_cells_xml, """
 
 
 def q_errors_xml(spark, sf_dir):
-    """Error blocks as XML, counted from the text itself."""
-    blocks = errors_to_xml(validate_cells(derived(spark, sf_dir, CELLS, "orders"), RULES))
-    return blocks.select(
-        "block", F.expr("xpath_long(xml, '/Errors/@ErrorCount')").alias("stated"), F.expr("xpath_long(xml, 'count(/Errors/Error)')").alias("held")
-    )
+    """The error document, its counts and some attributes read back from the text."""
+    documents = errors_to_xml(validate_cells(derived(spark, sf_dir, CELLS, "orders"), RULES), block_rows=10_000)
+    item = "struct<_ErrorCode: bigint, _RowNum: bigint, _CellNum: bigint, _CellName: string, _CellValue: string, _ErrorRus: string>"
+    read = documents.select("block", F.from_xml("xml", f"_ErrorCount bigint, _HeldCount bigint, Error array<{item}>").alias("e"))
+    rows = read.select("block", F.col("e._ErrorCount").alias("stated"), F.col("e._HeldCount").alias("held"), F.explode("e.Error").alias("x"))
+    named = {"ErrorCode": "_ErrorCode", "RowNum": "_RowNum", "CellNum": "_CellNum", "CellName": "_CellName", "ErrorRus": "_ErrorRus"}
+    return rows.select("block", "stated", "held", *[F.col(f"x.{c}").alias(n) for n, c in named.items()])
 
 
 registry.add("errors_to_xml", q_errors_xml, f"""
-    {_CODES} SELECT CAST(floor(RN / 10000) AS BIGINT) AS block, count(*) AS stated, count(*) AS held FROM coded WHERE code <> 0 GROUP BY 1""")
+    {_CODES} SELECT CAST(floor(RN / 10000) AS BIGINT) AS block, count(*) OVER () AS stated,
+           count(*) OVER (PARTITION BY floor(RN / 10000)) AS held, CAST(code AS BIGINT) AS ErrorCode, RN AS RowNum,
+           CAST(n AS BIGINT) AS CellNum, nm AS CellName, {_HEADS} || {_TYPES} AS ErrorRus FROM coded WHERE code <> 0""")
 
 # two snapshots of every customer; the second drifts by key
 PAIRS = """SELECT c_custkey AS pair_id,
