@@ -7,6 +7,8 @@ the page count; a partition folder stands for an index.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,6 @@ REORGANIZE, REBUILD, SKIP = "REORGANIZE", "REBUILD", "SKIP"
 TARGET_BYTES = 128 * 1024 * 1024
 
 
-def require_table(spark: SparkSession, name: str) -> DataFrame:
-    if not spark.catalog.tableExists(name):
-        raise ValueError(f"table {name} does not exist")
-    return spark.table(name)
-
-
 def file_list(spark: SparkSession, path: str) -> DataFrame:
     """(dataset, partition, file, bytes) of every data file; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
@@ -38,10 +34,11 @@ def file_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def layout_stats(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """(dataset, partition, files, bytes, small_files, small_percent)."""
+    """(dataset, partition, files, bytes, small_files, largest, mean, small_percent); sizes in bytes."""
     small = F.col("bytes") < target_bytes
     stats = files.groupBy("dataset", "partition").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_if(small).alias("small_files")
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_if(small).alias("small_files"),
+        F.max("bytes").alias("largest"), F.avg("bytes").alias("mean"),
     )
     return stats.withColumn("small_percent", F.round(F.col("small_files") * 100 / F.col("files"), 4))
 
@@ -80,11 +77,10 @@ def layout_report(
     if whole_dataset:
         kept = kept.groupBy("dataset").agg(
             F.lit("").alias("partition"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes"),
-            F.sum("small_files").alias("small_files"), F.max("small_percent").alias("small_percent"),
+            F.sum("small_files").alias("small_files"), F.max("largest").alias("largest"),
+            (F.sum("bytes") / F.sum("files")).alias("mean"), F.max("small_percent").alias("small_percent"),
         )
-    # equal shares are ordered by a hash, so a report of any length can be cut into ranges
-    tied = kept.withColumn("__tie", F.xxhash64("dataset", "partition"))
-    ranked = rank_global(tied, [Order("small_percent", descending=True), Order("__tie")], out="rank").drop("__tie")
+    ranked = rank_global(kept, [Order("small_percent", descending=True), Order("dataset"), Order("partition")], out="rank")
     action = classify_action(F.col("small_percent"), rebuild, True, skip_to)
     text = command_text(F.col("action"), F.col("dataset"), None if whole_dataset else F.col("partition"))
     return ranked.withColumn("action", action).withColumn("command", F.when(F.col("action") != SKIP, text))
@@ -99,15 +95,36 @@ def compaction_plan(
 
 
 def layout_compare(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Before and after side by side, by dataset and partition."""
+    """Before and after side by side, by dataset and partition, with the largest and the mean file."""
     keys = ["dataset", "partition"]
 
     def side(df: DataFrame, suffix: str) -> DataFrame:
-        return df.select(*keys, *[F.col(c).alias(f"{c}_{suffix}") for c in ("small_percent", "files", "bytes")])
+        return df.select(*keys, *[F.col(c).alias(f"{c}_{suffix}") for c in ("small_percent", "files", "bytes", "largest", "mean")])
 
     return before.select(*keys, "action").join(side(before, "before"), keys).join(side(after, "after"), keys)
 
 
+def folder_values(partition: Column, partition_by: Sequence[str]) -> list[Column]:
+    """The values that a partition folder names, as text; its escapes are undone, NULL is told from text."""
+    out = []
+    for c in partition_by:
+        text = F.regexp_extract(partition, rf"(^|/)\Q{c}\E=([^/]*)", 2)
+        plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        out.append(F.when(text != "__HIVE_DEFAULT_PARTITION__", plain))
+    return out
+
+
+def read_by_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A dataset whose partition values are the folders' texts: ``p=01`` stays apart from ``p=1``."""
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    was = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "false")
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, was)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -130,21 +147,26 @@ def compact(
     # the plan comes from the very files the rewrite replaces, so fix it first
     plan = cut_lineage(plan)
     started = spark.sql("SELECT current_timestamp() AS t").first().t
-    data = spark.read.parquet(path)
-    values = F.concat(*[F.concat(F.lit(f"/{c}="), F.col(c).cast("string")) for c in partition_by])
+    data = read_by_folder(spark, path)
+    columns = data.columns
     wanted = plan.select(
-        F.col("partition").alias("__partition"),
+        *[v.alias(f"__{c}") for v, c in zip(folder_values(F.col("partition"), partition_by), partition_by)],
         F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("__files"),
         F.col("action").alias("__action"),
     )
-    picked = data.withColumn("__partition", values).join(wanted, "__partition")
-    columns = [c for c in data.columns if c not in partition_by]
-    spread = F.pmod(F.xxhash64(*columns), F.col("__files"))
+    # the values themselves prune the scan; one row per planned partition comes back
+    values = wanted.select(*[f"__{c}" for c in partition_by]).distinct().collect()
+    for c in partition_by:
+        known = {r[f"__{c}"] for r in values}
+        match = F.col(c).isin(sorted(known - {None}))
+        data = data.where(match | F.col(c).isNull() if None in known else match)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partition_by])
+    picked = data.withColumn("__row", F.xxhash64("_metadata.file_path", "_metadata.row_index")).join(wanted, same)
     order = [F.when(F.col("__action") == REBUILD, F.col(c)) for c in sort_by]
-    placed = picked.withColumn("__file", spread).repartition(*partition_by, "__file")
+    placed = picked.withColumn("__file", F.pmod("__row", F.col("__files"))).repartition(*partition_by, "__file")
     placed = placed.sortWithinPartitions(*partition_by, "__file", *order)
-    placed.select(*data.columns).write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    staged = spark.read.schema(data.schema).parquet(staging)
+    placed.select(*columns).write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    staged = spark.read.schema(data.select(*columns).schema).parquet(staging)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     spark.catalog.refreshByPath(path)
     after = layout_stats(file_list(spark, path), target_bytes)

@@ -16,9 +16,7 @@ from setforge.operators.rules import (
 from setforge.operators.temporal import active_on, latest_as_of, latest_one, opt_eq, started
 from setforge.plans.allocate import allocate
 from setforge.plans.cycles import ancestor_counts, closure, cycle_members, find_cycles
-from setforge.plans.layout import (
-    classify_action, command_text, file_list, layout_report, layout_stats, over_threshold,
-)
+from setforge.plans.layout import classify_action, command_text, compaction_plan, layout_compare, layout_report, layout_stats, over_threshold
 from setforge.queries.price_tables import CALC, TABLES as PRICE_TABLES
 from setforge.queries.registry import Registry
 
@@ -411,9 +409,70 @@ registry.add("layout_actions", q_actions, f"""
     FROM a WHERE pct >= 15 AND files > 5""")
 
 
+# files of data sets, one per line item; their sizes follow its price
+FILES = """SELECT '/data/set' || CAST(l_linenumber AS STRING) AS dataset, '/s=' || CAST(l_suppkey % 40 AS STRING) AS partition,
+    CAST(l_orderkey AS STRING) AS path, CAST(floor(l_extendedprice * {factor}) AS BIGINT) AS bytes FROM {{lineitem}}"""
+BEFORE, AFTER = FILES.format(factor=1000), FILES.format(factor=2000)
+BIG = 50_000_000
+
+
+def _stats(spark, sf_dir, files):
+    return layout_stats(derived(spark, sf_dir, files, "lineitem"), BIG)
+
+
+def _stats_sql(files: str) -> str:
+    return f"""SELECT dataset, partition, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) FILTER (bytes < {BIG}) AS small_files,
+        max(bytes) AS largest, avg(bytes) AS mean, round(count(*) FILTER (bytes < {BIG}) * 100.0::DOUBLE / count(*), 4) AS small_percent
+        FROM ({plain(files, "lineitem")}) GROUP BY dataset, partition"""
+
+
+def q_layout_stats(spark, sf_dir):
+    return _stats(spark, sf_dir, BEFORE)
+
+
+registry.add("layout_stats", q_layout_stats, _stats_sql(BEFORE))
+
+_ACTION = "CASE WHEN small_percent <= 5 THEN 'SKIP' WHEN small_percent >= 30 THEN 'REBUILD' ELSE 'REORGANIZE' END"
+
+
 def q_layout(spark, sf_dir):
-    """Report over the given files themselves; has no oracle because SQL sees no files."""
-    return layout_report(layout_stats(file_list(spark, sf_dir))).drop("dataset", "command")
+    return layout_report(_stats(spark, sf_dir, BEFORE), min_percent=3).select("dataset", "partition", "files", "rank", "action", "command")
+
+
+registry.add("layout_report", q_layout, f"""
+    SELECT dataset, partition, files, row_number() OVER (ORDER BY small_percent DESC, dataset, partition) AS rank, {_ACTION} AS action,
+           CASE WHEN small_percent > 5 THEN 'COMPACT [' || partition || '] ON ' || chr(39) || dataset || chr(39) || ' ' || {_ACTION} || ';' || chr(13) || chr(10) END AS command
+    FROM ({_stats_sql(BEFORE)}) WHERE small_percent >= 3""")
+
+
+def q_layout_whole(spark, sf_dir):
+    whole = layout_report(_stats(spark, sf_dir, BEFORE), whole_dataset=True)
+    return whole.select("dataset", "files", "bytes", "small_files", "largest", "small_percent", "rank", "action")
+
+
+registry.add("layout_report_whole", q_layout_whole, f"""
+    WITH w AS (SELECT dataset, CAST(sum(files) AS BIGINT) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(small_files) AS BIGINT) AS small_files,
+                      max(largest) AS largest, max(small_percent) AS small_percent FROM ({_stats_sql(BEFORE)}) GROUP BY dataset)
+    SELECT *, row_number() OVER (ORDER BY small_percent DESC, dataset) AS rank, {_ACTION} AS action FROM w""")
+
+
+def _plan(spark, sf_dir):
+    return compaction_plan(_stats(spark, sf_dir, BEFORE), min_percent=15, rebuild=40, min_files=3)
+
+
+def q_layout_plan(spark, sf_dir):
+    return _plan(spark, sf_dir).select("dataset", "partition", "action")
+
+
+_PLAN = f"""SELECT *, CASE WHEN small_percent > 40 THEN 'REBUILD' ELSE 'REORGANIZE' END AS action
+    FROM ({_stats_sql(BEFORE)}) WHERE small_percent >= 15 AND files > 3"""
+registry.add("layout_plan", q_layout_plan, f"SELECT dataset, partition, action FROM ({_PLAN})")
+
+
+def q_layout_compare(spark, sf_dir):
+    return layout_compare(_plan(spark, sf_dir), _stats(spark, sf_dir, AFTER))
 
 
-registry.add("layout_report", q_layout)
+_SIDES = [f"{side}.{c} AS {c}_{name}" for side, name in (("b", "before"), ("a", "after")) for c in ("small_percent", "files", "bytes", "largest", "mean")]
+registry.add("layout_compare", q_layout_compare, f"""
+    SELECT dataset, partition, b.action, {", ".join(_SIDES)} FROM ({_PLAN}) b JOIN ({_stats_sql(AFTER)}) a USING (dataset, partition)""")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from setforge.plans.layout import compact, compaction_plan, file_list, layout_report, layout_stats
+from setforge.plans.layout import compact, compaction_plan, file_list, layout_report, layout_stats, read_by_folder
 
 
 def test_report_and_compaction(spark, tmp_path):
@@ -21,3 +21,20 @@ def test_report_and_compaction(spark, tmp_path):
     assert [(r.files_before, r.files_after) for r in log] == [(12, 1)]
     assert spark.read.parquet(path).count() == 600
     assert spark.read.parquet(audit).count() == 1
+
+
+def test_folders_of_any_name_are_found(spark, tmp_path):
+    """Leading zeros, escapes and NULL name partitions like any other value; others stay untouched."""
+    path, staging = str(tmp_path / "data"), str(tmp_path / "staging")
+    names = ["01", "a/b", "c:d e+f%", None, "z"]
+    rows = spark.createDataFrame([(i, names[i % 5]) for i in range(500)], "id long, p string")
+    rows.repartition(12).write.partitionBy("p").parquet(path)
+    stats = layout_stats(file_list(spark, path))
+    plan = compaction_plan(stats, min_files=5).where("partition <> '/p=z'")
+    log = compact(spark, path, plan, ["p"], staging, sort_by=["id"], dry_run=False).collect()
+    assert len(log) == 4 and {(r.files_before, r.files_after) for r in log} == {(12, 1)}
+    assert all(r.largest_after >= r.largest_before and r.mean_after > r.mean_before for r in log)
+    after = {r.partition: r.files for r in layout_stats(file_list(spark, path)).collect()}
+    assert sorted(after.values()) == [1, 1, 1, 1, 12] and after["/p=z"] == 12 and after["/p=01"] == 1
+    back = read_by_folder(spark, path)
+    assert sorted((r.id, r.p or "") for r in back.collect()) == sorted((i, names[i % 5] or "") for i in range(500))
