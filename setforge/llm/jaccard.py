@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import components, gathered_counts, small, stage, table
 
 #: Counters of the shingle estimates (one byte each a task).
-SKETCH_BITS = 22
+SKETCH_BITS = 21
 #: Hubs that a node is compared with, by round: most groups settle in the first.
 HUBS = (1, 6)
 #: Longest extension of a prefix, and the cost of a verification in list entries.
@@ -44,7 +44,7 @@ MOST_MATCHES, VERIFY_COST = 4, 8
 class WordHashes(dict):
     """64-bit hashes of words; starts anew at ``limit`` words."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 300_000):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
@@ -189,7 +189,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     # a node is a set; its name is its smallest doc_id
     nodes = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"))
     nodes = stage(nodes)
-    lists = nodes.select("node", "n", "matches", F.explode("prefix").alias("token"))
+    lists = nodes.select("node", F.explode("prefix").alias("token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("listed")).where("listed > 1").select("token")
     lists = stage(lists.join(shared, "token"))
     edges = spark.createDataFrame([], "a long, b long")
@@ -208,7 +208,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     at = stage(mixed(with_label(lists, labels)))
     heads = at.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
     at = at.join(heads, "token")
-    at = at.join(nodes.select("node", "parity"), "node")
+    at = at.join(nodes.select("node", "n", "matches", "parity"), "node")
     side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "matches", "component", "parity")]
     left = at.where("component <> main").select("token", F.col("node").alias("a"), *side("a"))
     right = at.select("token", F.col("node").alias("b"), *side("b"), "main")
