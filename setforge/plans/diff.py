@@ -60,8 +60,13 @@ def _unequal_matches(classed: DataFrame) -> DataFrame:
         child = side.filter(F.col("depth") == depth + 1).select(DOC, F.col("parent").alias("node"), F.col("class").alias("child"))
         return top.join(child, [DOC, "node"]).select(DOC, "class", "sig", "child").distinct()
 
-    matched = classed.limit(0).select(DOC, F.col("class").alias("a"), F.col("class").alias("b"))
+    searched = {r.depth for r in left.filter("loose").select("depth").distinct().collect()}  # levels, not nodes
+    nothing = classed.limit(0).select(DOC, F.col("class").alias("a"), F.col("class").alias("b"))
+    matched = nothing
     for depth in range(deepest - 1, -1, -1):
+        if depth not in searched:
+            matched = nothing
+            continue
         ours, theirs = links(left, depth, True), links(right, depth, False)
         same = ours.select(DOC, F.col("child").alias("a"), F.col("child").alias("b")).unionByName(matched).distinct()
         fits = same.withColumnRenamed("a", "child").withColumnRenamed("b", "other")
@@ -123,11 +128,12 @@ def _changed_names(nodes: DataFrame, mode: str) -> DataFrame:
 
 
 def diff_attributes(pairs: DataFrame, mode: str = "simple") -> DataFrame:
-    """``(pair_id, xml, xml2)`` → ``(pair_id, result, changed)``; result 0 means equal.
+    """``(pair_id, xml, xml2)`` → ``(pair_id, result, changed, error)``; result 0 means equal.
 
     Equal: same element name, same attributes, same number of children, and every child of the
     first document equals some child of the second; text is not compared. A missing document
-    differs from everything. ``changed`` lists differing attribute names in order.
+    differs from everything, and so does one that does not parse; ``error`` then says why.
+    ``changed`` lists differing attribute names in order.
     """
     if mode not in ("simple", "full"):
         raise ValueError(f"mode: {mode}")
@@ -135,9 +141,13 @@ def diff_attributes(pairs: DataFrame, mode: str = "simple") -> DataFrame:
         pairs.select(F.col("pair_id").cast("bigint").alias(DOC), F.lit(n).alias(SIDE), F.col(c).alias("xml"))
         for n, c in ((1, "xml"), (2, "xml2"))
     ]
-    nodes = cut_lineage(xml_nodes(sides[0].unionByName(sides[1])))
+    # every level is read by itself below
+    shredded = cut_lineage(xml_nodes(sides[0].unionByName(sides[1])), "depth")
+    errors = shredded.filter("depth IS NULL").groupBy(DOC).agg(F.min("name").alias("error"))
+    nodes = shredded.filter("depth IS NOT NULL")
     if nodes.isEmpty():
-        return pairs.select("pair_id", F.lit(1).alias("result"), F.lit("").alias("changed"))
+        told = pairs.withColumn(DOC, F.col("pair_id").cast("bigint")).join(errors, DOC, "left")
+        return told.select("pair_id", F.lit(1).alias("result"), F.lit("").alias("changed"), "error")
     classed = _classes(nodes)
     roots = classed.filter(F.col("depth") == 0)
     ends = (
@@ -154,9 +164,11 @@ def diff_attributes(pairs: DataFrame, mode: str = "simple") -> DataFrame:
         pairs.withColumn(DOC, F.col("pair_id").cast("bigint"))
         .join(equal, DOC, "left")
         .join(changed, DOC, "left")
+        .join(errors, DOC, "left")
         .select(
             "pair_id",
             F.when(F.col("equal"), 0).otherwise(1).alias("result"),
             F.coalesce("changed", F.lit("")).alias("changed"),
+            "error",
         )
     )

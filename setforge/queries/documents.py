@@ -122,13 +122,14 @@ PAIRS = """SELECT c_custkey AS pair_id,
     CASE WHEN c_custkey % 9 = 8 THEN NULL ELSE
     '<c><Adress Nation="' || CAST(CASE WHEN c_custkey % 5 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS STRING) || '" ClientID="' || CAST(c_custkey AS STRING)
     || CASE WHEN c_custkey % 7 = 0 THEN '" Extra="1' ELSE '' END || '"/><Segment Name="' || CASE WHEN c_custkey % 4 = 0 THEN 'NONE' ELSE c_mktsegment END || '"/>'
-    || CASE c_custkey % 6 WHEN 0 THEN '<Note/><Other/>' WHEN 1 THEN '<Note/>' ELSE '<Note/><Note/>' END || '</c>' END AS xml2 FROM {customer}"""
+    || CASE c_custkey % 6 WHEN 0 THEN '<Note/><Other/>' WHEN 1 THEN '<Note/>' ELSE '<Note/><Note/>' END
+    || CASE WHEN c_custkey % 97 = 5 THEN '' ELSE '</c>' END END AS xml2 FROM {customer}"""
 
 
 def _diff(mode):
     def query(spark, sf_dir):
         found = diff_attributes(derived(spark, sf_dir, PAIRS, "customer"), mode)
-        return found.select("pair_id", F.col("result").cast("bigint").alias("result"), "changed")
+        return found.select("pair_id", F.col("result").cast("bigint").alias("result"), "changed", F.col("error").isNotNull().alias("broken"))
 
     return query
 
@@ -137,11 +138,13 @@ def _diff_oracle(mode: str) -> str:
     moved, extra = "c_custkey % 5 = 0", "c_custkey % 7 = 0"
     nation = f"{moved} AND NOT ({extra})" if mode == "simple" else moved
     added = "FALSE" if mode == "simple" else extra
-    gone = "c_custkey % 9 = 8 OR c_custkey % 6 = 1"
+    broken = "c_custkey % 9 <> 8 AND c_custkey % 97 = 5"
+    gone = f"c_custkey % 9 = 8 OR c_custkey % 6 = 1 OR {broken}"
     return f"""SELECT c_custkey AS pair_id,
-        CAST(CASE WHEN c_custkey % 9 = 8 OR c_custkey % 6 = 1 OR {moved} OR {extra} OR c_custkey % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS result,
+        CAST(CASE WHEN {gone} OR {moved} OR {extra} OR c_custkey % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS result,
         CASE WHEN {gone} THEN '' ELSE concat_ws(', ', CASE WHEN {added} THEN 'Extra' END,
-            CASE WHEN c_custkey % 4 = 0 THEN 'Name' END, CASE WHEN {nation} THEN 'Nation' END) END AS changed FROM customer"""
+            CASE WHEN c_custkey % 4 = 0 THEN 'Name' END, CASE WHEN {nation} THEN 'Nation' END) END AS changed,
+        {broken} AS broken FROM customer"""
 
 
 registry.add("diff_attributes_simple", _diff("simple"), _diff_oracle("simple"))

@@ -42,14 +42,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder and go on from there.
 
     The folder is shared and reliable, so a lost executor loses nothing. Unlike an RDD
     checkpoint the table is columnar: later stages read only their columns, filters reach the
-    scan, and the planner knows the size.
+    scan, and the planner knows the size. Readers of one value of ``partition_by`` read its files only.
     """
     spark = df.sparkSession
     folder = new_folder(spark, "stage")
-    df.write.parquet(folder)
+    df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

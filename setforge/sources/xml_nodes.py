@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -30,14 +31,29 @@ def _walk(text: str) -> Iterator[tuple]:
         number += 1
 
 
-def xml_nodes(docs: DataFrame) -> DataFrame:
-    """Shred ``(doc_id, side, xml)`` into one row per element; text between elements is left out."""
+def _nodes(batch: pd.DataFrame) -> Iterator[tuple]:
+    for doc_id, side, text in zip(batch.doc_id, batch.side, batch.xml):
+        if text is None:
+            continue
+        try:
+            yield from ((doc_id, side, *n) for n in _walk(text))
+        except ElementTree.ParseError as e:
+            yield doc_id, side, None, None, None, None, f"not XML: {e}", None, None
+
+
+def xml_nodes(docs: DataFrame, rows: int = 20_000) -> DataFrame:
+    """Shred ``(doc_id, side, xml)`` into one row per element; text between elements is left out.
+
+    A text that does not parse gives one row without node, whose name tells why. Rows leave in
+    frames of ``rows`` at most, however many elements a text or a batch holds.
+    """
 
     def shred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["doc_id", "side", "node", "parent", "depth", "path", "name", "kids", "attrs"]
         for batch in batches:
-            rows = [(d, s, *n) for d, s, x in zip(batch.doc_id, batch.side, batch.xml) if x is not None for n in _walk(x)]
-            frame = pd.DataFrame(rows, columns=columns)
-            yield frame.astype({"parent": "Int64", "node": "Int64"})
+            nodes = _nodes(batch)
+            while held := list(islice(nodes, rows)):
+                frame = pd.DataFrame(held, columns=columns)
+                yield frame.astype(dict.fromkeys(["parent", "node", "depth", "kids"], "Int64"))
 
     return docs.select("doc_id", "side", "xml").mapInPandas(shred, NODE_SCHEMA)

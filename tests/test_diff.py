@@ -17,11 +17,12 @@ def test_known_pairs(spark):
         (2, "<r><a/><a/></r>", "<r><a/><b/></r>"),
         (3, "<r><a/><b/></r>", "<r><a/><a/></r>"),
         (4, '<a x="1"/>', '<a x="1" y="2"/>'),
+        (6, "<a><b>", "<a><b/></a>"),
         (5, '<x:a xmlns:x="u" k="1"/>', '<a k="1">text</a>'),
     ]
     df = spark.createDataFrame(rows, SCHEMA)
     assert {r.pair_id: (r.result, r.changed) for r in diff_attributes(df).collect()} == {
-        0: (1, "tone"), 1: (1, ""), 2: (0, ""), 3: (1, ""), 4: (1, ""), 5: (0, ""),
+        0: (1, "tone"), 1: (1, ""), 2: (0, ""), 3: (1, ""), 4: (1, ""), 5: (0, ""), 6: (1, ""),
     }
     assert {r.pair_id: r.changed for r in diff_attributes(df, "full").collect()}[4] == "y"
 
