@@ -70,16 +70,23 @@ def pick_by_priority(
     return best if keep is None else best.filter(keep)
 
 
-def join_any(left: DataFrame, right: DataFrame, arms: Sequence[tuple[Sequence[str], Column | None]]) -> DataFrame:
-    """Inner join on any of several key lists, each pair once.
+def join_any(
+    left: DataFrame,
+    right: DataFrame,
+    arms: Sequence[tuple[Sequence[str], Column | None]],
+    left_out: Sequence[str],
+    right_out: Sequence[str],
+) -> DataFrame:
+    """Distinct (left_out, right_out) of rows that agree on any of several key lists.
 
-    Each arm is (shared key columns, extra row test). The OR becomes a union of equi joins.
+    Each arm is (key columns of both sides, test of right rows or None). The OR becomes a union of equi
+    joins of distinct rows, each of which carries its own arm's columns only.
     """
-    columns = [*left.columns, *[c for c in right.columns if c not in left.columns]]
     parts = []
     for keys, test in arms:
-        joined = left.join(right, list(keys))
-        parts.append((joined if test is None else joined.filter(test)).select(*columns))
+        ours = left.select(*dict.fromkeys([*left_out, *keys])).distinct()
+        theirs = (right if test is None else right.filter(test)).select(*dict.fromkeys([*right_out, *keys])).distinct()
+        parts.append(ours.join(theirs, list(keys)).select(*left_out, *right_out))
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
@@ -87,6 +94,26 @@ def null_or_equal(rule: str, value: str) -> Column:
     return F.col(rule).isNull() | (F.col(rule) == F.col(value))
 
 
+def match_rules(
+    items: DataFrame, rules: DataFrame, keys: Sequence[str], soft: Sequence[str], rule_out: Sequence[str], item_out: Sequence[str]
+) -> DataFrame:
+    """(rule_out, item_out) of every rule with every item it names, where a NULL soft column names every value.
+
+    The same as an equi join on ``keys`` with ``null_or_equal`` on every soft column, but rules are split by the
+    columns they fill, and each kind is an equi join on all of them: an item meets only rules that name it.
+    """
+    parts = []
+    for mask in range(1 << len(soft)):
+        filled = [c for i, c in enumerate(soft) if mask >> i & 1]
+        shape = reduce(
+            lambda a, b: a & b, [F.col(c).isNotNull() if c in filled else F.col(c).isNull() for c in soft], F.lit(True)
+        )
+        kind = rules.filter(shape).select(*dict.fromkeys([*rule_out, *keys, *filled]))
+        ours = items.select(*dict.fromkeys([*item_out, *keys, *filled]))
+        parts.append(kind.join(ours, [*keys, *filled]).select(*rule_out, *[c for c in item_out if c not in rule_out]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def apply_rules(
     items: DataFrame,
     include: DataFrame,
@@ -108,9 +135,7 @@ def apply_rules(
         raise ValueError(f"mode: {mode}")
 
     def named(rules: DataFrame) -> DataFrame:
-        r = rules.select(*owner, *keys, *[F.col(c).alias(f"__{c}") for c in soft]).distinct()
-        test = reduce(lambda a, b: a & b, [null_or_equal(f"__{c}", c) for c in soft], F.lit(True))
-        return items.join(r, list(keys)).filter(test)
+        return match_rules(items, rules.select(*owner, *keys, *soft).distinct(), keys, soft, [*owner, *keys], [item])
 
     found = named(include).select(*owner, *keys, item).distinct()
     scope = [*owner, *keys]

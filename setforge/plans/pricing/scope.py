@@ -87,14 +87,9 @@ def group_products(
         .unionByName(by_category.select("MGPID", "UnsecuredProductID"), allowMissingColumns=True)
     )
     items = products.select("ProductID", F.col("ExceptionMGPID").alias("own"), "BrandID", "UnsecuredProductID")
-    free = items.filter(F.col("own").isNull())
-    arms = [
-        (ways.select("MGPID", "own"), items.select("ProductID", "own"), "own"),
-        (ways.select("MGPID", "BrandID"), free.select("ProductID", "BrandID"), "BrandID"),
-        (ways.select("MGPID", "UnsecuredProductID"), free.select("ProductID", "UnsecuredProductID"), "UnsecuredProductID"),
-    ]
-    parts = [join_any(left, right, [([key], None)]).select("MGPID", "ProductID") for left, right, key in arms]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+    free = F.col("own").isNull()
+    arms = [(["own"], None), (["BrandID"], free), (["UnsecuredProductID"], free)]
+    return join_any(ways, items, arms, ["MGPID"], ["ProductID"])
 
 
 def market_group_products(

@@ -11,7 +11,7 @@ from setforge.functions.scalars import (
 from setforge.operators.merge import change_summary, delete_where, merge_snapshot, merged_rows
 from setforge.operators.ordered import Order, prefix_sum, rank_global, with_row_id
 from setforge.operators.rules import (
-    has_flag, join_any, null_or_equal, pick_by_priority, wildcard_semi,
+    has_flag, join_any, match_rules, pick_by_priority, wildcard_semi,
 )
 from setforge.operators.temporal import active_on, latest_as_of, latest_one, opt_eq, started
 from setforge.plans.allocate import allocate
@@ -246,12 +246,8 @@ GROUPS = """SELECT DISTINCT p_size AS grp, 'Brand#' || CAST(1 + p_size % 25 AS S
 def q_join_any(spark, sf_dir):
     groups = derived(spark, sf_dir, GROUPS, "part")
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"), (F.col("p_partkey") % 500).alias("own"))
-    left = groups.select("grp", F.col("brand"), F.col("own"))
     arms = [(["own"], None), (["brand"], F.col("own") % 2 == 0)]
-    found = [join_any(left.select("grp", *k), parts.select("p_partkey", *k), [(k, t)]).select("grp", "p_partkey") for k, t in arms[:1]]
-    even = parts.filter(F.col("own") % 2 == 0).select("p_partkey", "brand")
-    found.append(join_any(left.select("grp", "brand").distinct(), even, [(["brand"], None)]).select("grp", "p_partkey"))
-    return found[0].unionByName(found[1]).distinct().select(F.col("grp").cast("bigint").alias("grp"), "p_partkey")
+    return join_any(groups, parts, arms, ["grp"], ["p_partkey"]).select(F.col("grp").cast("bigint").alias("grp"), "p_partkey")
 
 
 registry.add("join_on_any_key", q_join_any, f"""
@@ -264,9 +260,9 @@ SIZE_RULES = """SELECT n_nationkey AS rule, n_nationkey % 6 + 1 AS size_step, CA
 
 
 def q_null_or_equal(spark, sf_dir):
-    rules = derived(spark, sf_dir, SIZE_RULES, "nation")
+    rules = derived(spark, sf_dir, SIZE_RULES, "nation").withColumnsRenamed({"rule_brand": "p_brand", "rule_size": "p_size"})
     parts = table(spark, sf_dir, "part").withColumn("size_step", F.col("p_size") % 6 + 1)
-    named = parts.join(rules, "size_step").filter(null_or_equal("rule_brand", "p_brand") & null_or_equal("rule_size", "p_size"))
+    named = match_rules(parts, rules, ["size_step"], ["p_brand", "p_size"], ["rule"], ["p_partkey"])
     return named.groupBy("rule").agg(F.count(F.lit(1)).alias("n")).select(F.col("rule").cast("bigint").alias("rule"), "n")
 
 

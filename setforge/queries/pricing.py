@@ -16,7 +16,7 @@ from setforge.plans.pricing.run import PriceConfig
 from setforge.queries import price_tables as pt
 from setforge.queries.price_oracle import FORMULA_SYSTEM, RUN_SYSTEM, stage_sql
 from setforge.queries.registry import Registry
-from setforge.session import new_folder
+from setforge.session import new_folder, remove_stages
 
 CALC_DATE = date(1998, 6, 15)
 PARTS = [
@@ -67,6 +67,8 @@ def stages_of(spark: SparkSession, sf_dir: str, mode: str = "any", system: int =
 def forget_stages() -> None:
     """Make the next query build its stages anew (the benchmark does so before every query)."""
     _stages.clear()
+    if spark := SparkSession.getActiveSession():
+        remove_stages(spark)
 
 
 def _stage(name: str, kinds: dict[str, str], key: str, mode: str = "any", system: int = RUN_SYSTEM) -> None:

@@ -42,6 +42,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+_made: list[str] = []
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete all stages written so far. Call it when their results are written; frames over them are dead then."""
+    for folder in _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _made.clear()
+
+
 def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder and go on from there.
 
@@ -51,5 +62,6 @@ def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, "stage")
+    _made.append(folder)
     df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
