@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
+from sys import byteorder
 
 import numpy as np
 
@@ -15,18 +17,19 @@ class Encoder(dict):
     """Ids of a text, as bytes, put together from the ids of its words.
 
     The tokenizer drops white space and never joins characters across it, so the ids of a text are those of
-    its words in turn. Words seen before come from this dictionary, which starts anew at ``limit`` words. A
+    its words in turn. Words seen before come from this dictionary; at ``limit`` words it starts anew and
+    takes what it needs from the words before, so memory is bounded and common words stay. A
     plain word goes right to the tokenizer's BPE model, any other through the whole ``encode``; commas and
     full stops at the end of a letter word and the case of ASCII letters are taken off first, which the
     tokenizer does as well.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 700_000):
+    def __init__(self, path: str, end_id: int, limit: int = 400_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
+        self.limit, self.before = limit, {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         level = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -40,11 +43,15 @@ class Encoder(dict):
         return whole == [i for w in probe.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.dtype.char, ids).tobytes() if byteorder == "little" else np.array(ids, self.dtype).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
+        if (ids := self.before.get(word)) is not None:
+            self[word] = ids
+            return ids
         lower = word.lower()
         if b"<|" in word:  # may be a special token, which no rule here may touch
             ids = self._pack(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
