@@ -26,6 +26,10 @@ from .common import table
 
 BITS = 17
 DECAY = 0.7
+#: Counts that a feature is taken to have had before, so that rare ones say little.
+PRIOR = 0.3
+#: Shares of clean texts whose worst word is below a text's worst word, and below any word, that is a witness.
+WITNESS = (0.7, 0.99)
 #: Distances between the three letters: all with a span of five letters at most.
 GAPS = [(1, 1), (1, 2), (2, 1), (1, 3), (3, 1), (2, 2)]
 EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -158,19 +162,20 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = 200, round
         for label in (0, 1):
             n = np.array([uses[label][w] for w in part], float)
             count[label] += np.bincount(feature, weight * n[owner], minlength=1 << BITS)
-    rate = (count + 1) / (count.sum(1, keepdims=True) + (1 << BITS))
-    score = project(names, np.log(rate[1] / rate[0]))
+    expected = count.sum(0) * count[1].sum() / max(1e-9, count.sum())
+    score = project(names, np.log((count[1] + PRIOR) / (expected + PRIOR)))
     positive = [d for d, label in zip(docs_at, toxic, strict=True) if label == 1 and len(d)]
     negative = [d for d, label in zip(docs_at, toxic, strict=True) if label == 0 and len(d)]
-    frequent = np.array([uses[1][w] >= max(8, often * len(positive)) and not uses[0][w] for w in names])
+    frequent = np.array([uses[1][w] >= max(30, often * len(positive)) and not uses[0][w] for w in names])
     vector, bias = None, 0.0
     for turn in range(rounds):
-        # witnesses: the worst word of each toxic text, later all that the machine calls toxic
+        # witnesses: words of toxic texts that are worse than the worst word of nearly all clean texts, and a
+        # text's worst word if it is worse than that of most; a toxic text without such a word has none
+        likely, sure = np.quantile([score[d].max() for d in negative], WITNESS) if negative else (-np.inf, -np.inf)
         bad = Counter()
         for d in positive:
             s = score[d]
-            known = s >= (s.max() if turn == 0 else min(s.max(), 0.0))
-            bad.update(d[known | frequent[d]].tolist())
+            bad.update(d[(s > sure) | ((s == s.max()) & (s > likely)) | frequent[d]].tolist())
         # the hardest words of each clean text, and words drawn from all
         good = Counter()
         for d in negative:

@@ -4,7 +4,8 @@ import re
 
 from conftest import SF
 
-from setforge.llm.secrets import op5_secret_scan, scan, tested
+from setforge.llm import secrets
+from setforge.llm.secrets import op5_secret_scan, scan
 
 KINDS = [
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 6),
@@ -50,7 +51,7 @@ def test_random_tokens_are_told_from_structure(spark):
     found = {r.doc_id for r in scan(df).collect() if any(s.kind == "random" for s in r.spans)}
     assert len([i for i in found if i < 60]) >= 55
     assert not [i for i in found if i >= 60]
-    p = {r.token: r.p for r in tested(spark.createDataFrame([(t,) for t in secret + plain], "token string")).collect()}
+    p = {r.token: r.p for r in secrets.tested(spark.createDataFrame([(t,) for t in secret + plain], "token string")).collect()}
     assert p[plain[4]] is None and p[plain[0]] < 1e-4
 
 
