@@ -24,7 +24,7 @@ class Encoder(dict):
     tokenizer does as well.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 400_000):
+    def __init__(self, path: str, end_id: int, limit: int = 600_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
