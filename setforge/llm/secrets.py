@@ -21,11 +21,12 @@ KINDS = [
     ("access", "AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", "[0-9a-f]{24,}", 0, 24),
 ]
-TOKEN = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: An equals sign is padding at a token's end, and elsewhere stands between a name and its value.
+TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: (name, pattern, alphabet) from narrow to wide. Letters of one case and plain numbers are no encoding.
 ENCODINGS = [
-    ("number", r"^[0-9_=-]+$", None),
+    ("number", r"^[0-9+/_=-]+$", None),
     ("word", r"^([A-Z]?[a-z_=/+-]+|[A-Z_=/+-]+)$", None),
     ("hex", "^[0-9a-f]+$", DIGITS + "abcdef"),
     ("HEX", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
@@ -35,6 +36,7 @@ ENCODINGS = [
     ("base62", "^[A-Za-z0-9]+$", DIGITS + LOWER.upper() + LOWER),
     ("base64url", "^[A-Za-z0-9_-]+=*$", LOWER.upper() + LOWER + DIGITS + "-_"),
     ("base64", "^[A-Za-z0-9+/]+=*$", LOWER.upper() + LOWER + DIGITS + "+/"),
+    ("mixed64", "^[A-Za-z0-9+/_-]+=*$", LOWER.upper() + LOWER + DIGITS + "+/-_"),
 ]
 #: Steps of the p-value grid: p is rounded up to exp(-step / GRID).
 GRID = 20

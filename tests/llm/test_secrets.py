@@ -55,6 +55,29 @@ def test_random_tokens_are_told_from_structure(spark):
     assert p[plain[4]] is None and p[plain[0]] < 1e-4
 
 
+def test_values_beside_their_names(spark):
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = {
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCYzQ81": "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ81",
+        "auth=Zk3Pq9LmX2vTb7RsW1cYdE5f": "Zk3Pq9LmX2vTb7RsW1cYdE5f",
+        "https://x.org/a?sig=Ab3dE9fGh2JkLmN4pQrStUv6": "Ab3dE9fGh2JkLmN4pQrStUv6",
+    }
+    for i in range(40):
+        value = "".join(rng.choice(letters + "+/-_" * (i % 2)) for _ in range(40)) + "==" * (i % 3 == 0)
+        texts[f"a_name_of_twenty_letters={value}&x=1"] = value
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = scan(df).join(df.select("doc_id", secrets.found(df.text, secrets.TOKEN, 0).alias("tokens")), "doc_id").collect()
+    found = 0
+    for row in rows:
+        text, value = list(texts.items())[row.doc_id]
+        at = (text.index(value), text.index(value) + len(value))
+        assert (*at, value) in [tuple(t) for t in row.tokens]
+        found += at in [(s.start, s.end) for s in row.spans]
+    assert found >= 38
+    assert all(r.p is not None for r in secrets.tested(spark.createDataFrame([(v,) for v in texts.values()], "token string")).collect())
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = scan(odd).collect()
     assert len(rows) == odd.count() and scan(nothing).count() == 0
