@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL_LENGTH, NAME_LENGTH = 300, 10  # fixed values: stored length of a cell and of its name in reference mode
@@ -66,10 +66,16 @@ def errors_to_xml(errors: DataFrame, block_rows: int | None = None, keys: Sequen
     blocks = errors.groupBy(*keys, block.alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("RowNum", "CellNum", item.alias("item")))).alias("items")
     )
-    total = F.size("items").cast("bigint")
-    if block_rows:
-        total = F.sum(total).over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
+    if not block_rows:
+        counted = blocks.withColumn("total", F.size("items").cast("bigint"))
+    else:
+        # counted without the texts, so that no task gathers those of a whole workbook; empty keys are a workbook too
+        totals = errors.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.count("*").alias("total"))
+        if keys:
+            same = [blocks[k].eqNullSafe(totals[f"_of_{k}"]) for k in keys]
+            counted = blocks.join(totals, same)
+        else:
+            counted = blocks.crossJoin(F.broadcast(totals))  # one row
     held = [F.size("items").alias("_HeldCount")] if block_rows else []
-    counted = blocks.withColumn("total", total)
     root = F.struct(F.col("total").alias("_ErrorCount"), *held, F.transform("items", lambda e: e["item"]).alias("Error"))
     return counted.select(*keys, "block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))

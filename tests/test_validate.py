@@ -112,3 +112,18 @@ def test_rules_and_names_from_xml(spark):
     )
     assert rules_from(rules_from_xml(df, "t")) == [ColumnRule(1, "varchar(3)", False), ColumnRule(2, "int", None)]
     assert [r.TableName for r in names_from_xml(df, "n").collect()] == ["a", "b"]
+
+
+def test_totals_of_blocks_gather_no_texts(spark):
+    rows = [(s, r, 1, "A", "x", "e", None, None) for s, n in (("a", 7), (None, 5), ("b", 1)) for r in range(1, n + 1)]
+    errors = spark.createDataFrame(rows, "source string, RowNum int, CellNum int, CellName string, CellValue string, ErrorCode string, ErrorRus string, ErrorMessage string")
+    for keys, totals in ((None, {"a": 7, None: 5, "b": 1}), ([], {None: 13})):
+        out = errors_to_xml(errors, block_rows=3, keys=keys)
+        assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = out.collect()
+        held = {}
+        for r in got:
+            key = r.source if keys is None else None
+            assert f'ErrorCount="{totals[key]}"' in r.xml
+            held[key] = held.get(key, 0) + int(r.xml.split('HeldCount="')[1].split('"')[0])
+        assert held == totals
