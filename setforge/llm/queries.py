@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
 
+from .fim import OP13_SQL, op13_fill_in_middle
 from .jaccard import op10_jaccard_join
 from .licenses import op7_license_scan
 from .linededup import op4_line_dedup
@@ -26,12 +27,14 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op7_license_scan": op7_license_scan,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": run,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": OP2_SQL,
     "op9_mixing": OP9_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
 if ORACLE_SQL is not None:
     ORACLES["pipeline"] = ORACLE_SQL
