@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
 
+from .bpe import op12_token_counts
 from .fim import OP13_SQL, op13_fill_in_middle
 from .jaccard import op10_jaccard_join
 from .licenses import op7_license_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op7_license_scan": op7_license_scan,
+    "op12_token_counts": op12_token_counts,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": run,
 }
