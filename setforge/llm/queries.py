@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
 
+from .audit import OP11_SQL, op11_filter_audit
 from .bpe import op12_token_counts
 from .fim import OP13_SQL, op13_fill_in_middle
 from .jaccard import op10_jaccard_join
@@ -28,6 +29,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op4_line_dedup": op4_line_dedup,
     "op7_license_scan": op7_license_scan,
+    "op11_filter_audit": op11_filter_audit,
     "op12_token_counts": op12_token_counts,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": run,
@@ -36,6 +38,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_exact_top_k": OP2_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_filter_audit": OP11_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
 if ORACLE_SQL is not None:
