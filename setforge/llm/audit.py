@@ -78,21 +78,25 @@ def levels(everything: DataFrame, failing: dict[str, DataFrame], tables: Buckete
     return out
 
 
-def step_counts(level: DataFrame, failing: dict[str, DataFrame], marked: dict[str, DataFrame]) -> DataFrame:
+def step_counts(states: list[DataFrame], failing: dict[str, DataFrame], marked: dict[str, DataFrame]) -> DataFrame:
     """(prefix, filter, part) with removed, redundant and one column per table of ``marked``, for the filters not in a prefix.
 
     Failing ids alive at the prefix are removed by the filter, gone ones are redundant; of the removed, those
     in a marked table are lost.
     """
-    counts = []
-    for letter, ids in failing.items():
-        hits = level.where(~F.contains(F.col("prefix"), F.lit(letter))).join(ids, "row", "left_semi")
-        kinds = [("removed", hits.where("alive")), ("redundant", hits.where("NOT alive"))]
-        kinds += [(name, hits.where("alive").join(some, "row", "left_semi")) for name, some in marked.items()]
-        for kind, rows in kinds:
-            counts.append(rows.groupBy("prefix", "part").agg(F.count("*").alias("n")).select("prefix", "part", F.lit(letter).alias("filter"), F.lit(kind).alias("kind"), "n"))
-    kinds = ["removed", "redundant", *marked]
-    sums = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).cast("long").alias(k) for k in kinds]
+
+    def of(letter: str, state: DataFrame) -> DataFrame:
+        here = state.where(~F.contains("prefix", F.lit(letter)))
+        return here.join(failing[letter], "row", "left_semi").withColumn("filter", F.lit(letter))
+
+    # levels and ids are bucketed alike, so each of these joins stays inside its bucket
+    hits = stage(reduce(DataFrame.union, [of(x, state) for state in states for x in failing]))
+    removed = hits.where("alive")
+    kinds = [hits.select("prefix", "filter", "part", F.when(F.col("alive"), "removed").otherwise("redundant").alias("kind"))]
+    kinds += [removed.join(some, "row", "left_semi").select("prefix", "filter", "part", F.lit(name).alias("kind")) for name, some in marked.items()]
+    counts = [rows.groupBy("prefix", "filter", "part", "kind").agg(F.count("*").alias("n")) for rows in kinds]
+    names = ["removed", "redundant", *marked]
+    sums = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).cast("long").alias(k) for k in names]
     return reduce(DataFrame.union, counts).groupBy("prefix", "filter", "part").agg(*sums)
 
 
@@ -122,8 +126,8 @@ def interactions(rows: DataFrame, failing: dict[str, DataFrame], marked: dict[st
         ids = {x: tables.store(df.select("row")) for x, df in failing.items()}
         labels = {x: tables.store(df.select("row")) for x, df in marked.items()}
         at = levels(everything, ids, tables)
-        kept = stage(reduce(DataFrame.union, [level.groupBy(F.col("prefix").alias("after"), "part").agg(F.count_if("alive").alias("kept")) for level in at]))
-        steps = stage(reduce(DataFrame.union, [step_counts(level, ids, labels) for level in at[:-1]]))
+        kept = stage(reduce(DataFrame.union, at).groupBy(F.col("prefix").alias("after"), "part").agg(F.count_if("alive").alias("kept")))
+        steps = stage(step_counts(at[:-1], ids, labels))
     finally:
         tables.drop()
     orders = F.broadcast(all_orders(spark, letters))
