@@ -27,12 +27,14 @@ class Bucketed:
 
     def __init__(self, spark: SparkSession, rows: int):
         self.spark, self.names = spark, []
-        self.buckets = min(BUCKETS, max(spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS)))
+        self.buckets = min(BUCKETS, max(2 * spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS)))
 
     def store(self, df: DataFrame) -> DataFrame:
         name = f"audit_{uuid.uuid4().hex}"
         self.names.append(name)
-        writer = df.repartition(self.buckets, "row").write.bucketBy(self.buckets, "row").sortBy("row")
+        # dealt by the bucket itself, so that a bucket is one file however many partitions the session makes of it
+        bucket = F.pmod(F.hash("row"), F.lit(self.buckets))
+        writer = df.repartition(self.buckets, bucket).write.bucketBy(self.buckets, "row").sortBy("row")
         writer.option("path", new_folder(self.spark, name)).saveAsTable(name)
         return self.spark.table(name)
 
