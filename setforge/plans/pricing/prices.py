@@ -38,19 +38,20 @@ def tax_as_of(work: DataFrame, price_lists: DataFrame, statuses: DataFrame, date
 
 
 def exception_prices(work: DataFrame, products: DataFrame, exceptions: DataFrame, date: Column) -> DataFrame:
-    """(PricePolID, ProductID, ExBasePrice): active exceptions of the product's analog group.
+    """(PricePolID, ProductID, ExBasePrice): one active exception price for a pair.
 
-    Exceptions are lifted to (price list, group) first, so group members are never paired up.
+    The product's own exception comes first, then those of its analog group; of several the lowest counts, so that a
+    pair has one price whatever the settings say. Exceptions are lifted to (price list, group) first, so
+    group members are never paired up.
     """
     live = active_on(exceptions.filter(F.col("RowState") == 1), date, "DateBegin", "DateEnd", null_end="sentinel")
     groups = products.select(F.col("ID").alias("ProductID"), "AGID", "Status")
-    offered = (
-        live.join(groups.filter(lacks_flag("Status", NOT_OURS_FLAG)), "ProductID")
-        .select("PricePolID", "AGID", F.col("BasePrice").alias("ExBasePrice"))
-        .distinct()
-    )
+    offered = live.join(groups.filter(lacks_flag("Status", NOT_OURS_FLAG) & F.col("AGID").isNotNull()), "ProductID")
+    own = offered.groupBy(*PAIR).agg(F.min("BasePrice").alias("__own"))
+    of_group = offered.groupBy("PricePolID", "AGID").agg(F.min("BasePrice").alias("__lowest"))
     asked = work.select(*PAIR).join(groups.select("ProductID", "AGID"), "ProductID")
-    return asked.join(offered, ["PricePolID", "AGID"]).select(*PAIR, "ExBasePrice").distinct()
+    found = asked.join(of_group, ["PricePolID", "AGID"]).join(own, PAIR, "left")
+    return found.select(*PAIR, F.coalesce("__own", "__lowest").alias("ExBasePrice")).distinct()
 
 
 def base_price(

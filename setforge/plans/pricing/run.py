@@ -10,7 +10,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setforge.operators.merge import KEEP, change_summary
+from setforge.operators.merge import KEEP, RepeatedKeys, change_summary, refused_rows
 from setforge.operators.temporal import latest_as_of, opt_eq
 from setforge.plans.pricing import changes, discounts, prices, publish, scope
 from setforge.plans.pricing.prices import FormulaPart
@@ -252,9 +252,14 @@ def price_run(
 
 
 def write_run(t: dict[str, DataFrame], result: PriceRun, new_prices: DataFrame, calc_date: Date, price_list: int | None, targets: PriceTargets) -> None:
-    """Replace the date's partition of both tables, also where no row is left, and append to the log."""
+    """Replace the date's partition of both tables, also where no row is left, and append to the log.
+
+    Nothing is written if the merge refused a key that the run priced twice.
+    """
     touched, date = [{"Data": calc_date}], F.lit(calc_date)
     log = cut_lineage(result.log.withColumn("Data", date))  # counted before the archive changes
+    if not refused_rows(log, "metric").isEmpty():
+        raise RepeatedKeys(refused_rows(result.merged))
     replace_partitions(new_prices, targets.new_prices, f"{targets.staging}/new_prices", ["Data"], touched)
     if result.merged is not None:
         archive = publish.archive_after(t["archive"], result.merged, date, price_list)

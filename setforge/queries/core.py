@@ -367,6 +367,44 @@ def q_merge_summary(spark, sf_dir):
     return change_summary(_merged(spark, sf_dir), "action")
 
 
+# every seventh order comes under the key of the one before it as well
+TWICE = """SELECT CASE WHEN o_orderkey % 7 = 1 THEN o_orderkey - 1 WHEN o_orderkey % 7 = 4 THEN o_orderkey + 1000000000 - o_orderkey % 2 ELSE o_orderkey END AS id,
+    CAST(o_custkey AS BIGINT) AS cust, o_totalprice AS price, o_orderkey % 64 AS flags FROM {orders} WHERE o_orderkey % 11 <> 5"""
+
+
+def _merged_twice(spark, sf_dir, **settings):
+    stored, fresh = derived(spark, sf_dir, STORED, "orders"), derived(spark, sf_dir, TWICE, "orders")
+    return merge_snapshot(stored, fresh, ["id"], ["price", "flags"], has_flag("flags", 16), **settings)
+
+
+def q_merge_duplicates(spark, sf_dir):
+    """A source with repeated keys, which are refused."""
+    return _merged_twice(spark, sf_dir).select("id", "action", "price")
+
+
+def q_merge_settled(spark, sf_dir):
+    """The same source, where the highest price counts."""
+    return merged_rows(_merged_twice(spark, sf_dir, settle=[-F.col("price")])).select("id", "cust", "price", "flags")
+
+
+registry.add("merge_duplicates", q_merge_duplicates, f"""
+    WITH t AS ({plain(STORED, "orders")}), s AS ({plain(TWICE, "orders")}),
+    n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+    one AS (SELECT s.* FROM s JOIN n ON n.id = s.id AND n.n = 1)
+    SELECT t.id, CASE WHEN n.n > 1 THEN 'REFUSE_UPDATE' WHEN n.n IS NULL AND t.flags & 16 = 16 THEN 'DELETE'
+            WHEN one.price <> t.price OR one.flags <> t.flags THEN 'UPDATE' ELSE 'KEEP' END AS action,
+        CASE WHEN one.price <> t.price OR one.flags <> t.flags THEN one.price ELSE t.price END AS price
+    FROM t LEFT JOIN n ON n.id = t.id LEFT JOIN one ON one.id = t.id
+    UNION ALL SELECT n.id, CASE WHEN n.n > 1 THEN 'REFUSE_INSERT' ELSE 'INSERT' END, one.price
+    FROM n LEFT JOIN one ON one.id = n.id WHERE n.id NOT IN (SELECT id FROM t)""")
+registry.add("merge_settled", q_merge_settled, f"""
+    WITH t AS ({plain(STORED, "orders")}),
+    s AS (SELECT * FROM ({plain(TWICE, "orders")}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY price DESC, cust, price, flags) = 1)
+    SELECT t.id, CASE WHEN s.price <> t.price OR s.flags <> t.flags THEN s.cust ELSE t.cust END AS cust,
+        CASE WHEN s.price <> t.price OR s.flags <> t.flags THEN s.price ELSE t.price END AS price,
+        CASE WHEN s.price <> t.price OR s.flags <> t.flags THEN s.flags ELSE t.flags END AS flags
+    FROM t LEFT JOIN s ON s.id = t.id WHERE s.id IS NOT NULL OR t.flags & 16 <> 16
+    UNION ALL SELECT s.* FROM s WHERE s.id NOT IN (SELECT id FROM t)""")
 registry.add("merge_summary", q_merge_summary, f"{MERGE_ORACLE} SELECT action, count(*) AS n FROM m GROUP BY 1")
 
 

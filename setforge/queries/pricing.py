@@ -287,11 +287,8 @@ registry.add(
         "merged",
         f"""SELECT CAST(PolType AS BIGINT) AS PolType, CAST(ProductID AS BIGINT) AS ProductID, CAST(Data AS VARCHAR) AS Data,
             CAST(Price AS DOUBLE) AS Price, CAST(Status AS BIGINT) AS Status FROM archive WHERE Data <> {pt.CALC}
-        UNION ALL SELECT m.PolType, m.ProductID, CAST({pt.CALC} AS VARCHAR), CAST(m.Price AS DOUBLE),
-            CASE WHEN m.action IN ('INSERT', 'UPDATE') THEN n.Status ELSE a.Status END
-        FROM merged m LEFT JOIN prices n ON n.PolType = m.PolType AND n.ProductID = m.ProductID
-        LEFT JOIN archive a ON a.PolType = m.PolType AND a.ProductID = m.ProductID AND a.Data = {pt.CALC}
-        WHERE m.action <> 'DELETE'""",
+        UNION ALL SELECT PolType, ProductID, CAST({pt.CALC} AS VARCHAR), CAST(Price AS DOUBLE), Status
+        FROM merged WHERE action <> 'DELETE'""",
     ),
 )
 

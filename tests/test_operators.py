@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from setforge.operators.merge import KEEP, merge_snapshot, merged_rows
+from setforge.operators.merge import KEEP, merge_snapshot, merged_rows, refused_rows
 from setforge.operators.rules import apply_rules, pick_by_priority, rule_level
 from setforge.operators.temporal import active_on, latest_as_of
 from setforge.session import cut_lineage
@@ -69,6 +69,19 @@ def test_merge_twice_changes_nothing(spark):
     assert {r.action for r in again.collect()} == {KEEP}
 
 
+def test_merge_refuses_or_settles_repeated_keys(spark):
+    old = spark.createDataFrame([(1, 5, 16), (2, 6, 16), (2, 7, 0), (3, 7, 16)], "id int, price int, flags int")
+    new = spark.createDataFrame([(1, 9, 16), (1, 8, 16), (2, 6, 16), (4, 2, 0), (4, 2, 0), (5, 1, 0)], "id int, price int, flags int")
+    merged = merge_snapshot(old, new, ["id"], ["price", "flags"], F.col("flags") == 16)
+    rows = sorted(tuple(r) for r in merged.collect() if r.id != 4)
+    # both rows of a key that the target holds twice are treated alike, and none is doubled
+    assert rows == [(1, 5, 16, "REFUSE_UPDATE"), (2, 6, 16, "KEEP"), (2, 6, 16, "UPDATE"), (3, 7, 16, "DELETE"), (5, 1, 0, "INSERT")]
+    assert sorted(tuple(r) for r in refused_rows(merged).select("id", "price", "action").collect()) == [(1, 5, "REFUSE_UPDATE"), (4, None, "REFUSE_INSERT")]
+    assert sorted(r.id for r in merged_rows(merged).collect()) == [1, 2, 2, 5]
+    settled = merge_snapshot(old, new, ["id"], ["price", "flags"], settle=[-F.col("price")])
+    assert sorted(tuple(r) for r in settled.collect() if r.id in (1, 4)) == [(1, 9, 16, "UPDATE"), (4, 2, 0, "INSERT")]
+
+
 def test_replace_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     append(spark.createDataFrame([(1, "a"), (2, "b")], "v int, d string"), path, ["d"])

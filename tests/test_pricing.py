@@ -1,13 +1,16 @@
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
+from setforge.operators.merge import RepeatedKeys
 from setforge.plans.pricing.discounts import forbidden_tokens, layer_tokens, pivot_layers
-from setforge.plans.pricing.prices import FormulaPart, assemble_formula, check_formula, formula_price
-from setforge.plans.pricing.publish import assert_non_negative
-from setforge.plans.pricing.run import PriceConfig, check_params
+from setforge.plans.pricing.prices import FormulaPart, assemble_formula, check_formula, exception_prices, formula_price
+from setforge.plans.pricing.publish import assert_non_negative, publish_prices
+from setforge.plans.pricing.run import PriceConfig, check_params, write_run
 
 PARTS = [FormulaPart(2, "BasePrice", "(100-L22)/100"), FormulaPart(1, "BasePrice", "(100-L11)/100"), FormulaPart(3, "BasePrice", "(100-L33)/100")]
 READY = (
@@ -77,3 +80,39 @@ def test_guards(spark):
     check_params(config, date(2017, 1, 1), False, date(2017, 1, 1))
     with pytest.raises(ValueError):
         assert_non_negative(spark.createDataFrame([(-1,)], "Price int"))
+
+
+def test_own_exception_price_comes_first(spark):
+    products = spark.createDataFrame([(1, 7, 0), (2, 7, 0), (3, 7, 512), (4, None, 0), (5, 7, 0)], "ID int, AGID int, Status int")
+    work = spark.createDataFrame([(1, p) for p in (1, 2, 3, 4, 5)], "PricePolID int, ProductID int")
+    day = date(2017, 1, 1)
+    rows = [(1, 1, day, None, 30, 1), (1, 2, day, None, 20, 1), (1, 2, day, None, 25, 1), (1, 3, day, None, 5, 1), (1, 4, day, None, 6, 1), (1, 5, day, None, 1, 0)]
+    exceptions = spark.createDataFrame(rows, "PricePolID int, ProductID int, DateBegin date, DateEnd date, BasePrice int, RowState int")
+    found = exception_prices(work, products, exceptions, F.lit(date(2017, 6, 15)))
+    assert sorted((r.ProductID, r.ExBasePrice) for r in found.collect()) == [(1, 30), (2, 20), (3, 20), (5, 20)]
+
+
+def test_run_on_its_own_result(spark):
+    from setforge.plans.pricing.run import price_run
+    from setforge.queries import pricing
+
+    targets = pricing._tables_after(spark, SF)
+    t = pricing._tables(spark, SF)
+    t = {**t, "archive": spark.read.parquet(targets.archive), "new_prices": spark.read.parquet(targets.new_prices)}
+    again = price_run(t, pricing.CONFIG, pricing.CALC_DATE, make_change=True, today=date(1998, 6, 14))
+    assert t["archive"].groupBy("PolType", "ProductID", "Data").count().where("count > 1").isEmpty()
+    # nothing is new to a second run; rows whose change it has already dealt with are no longer its own
+    actions = again.merged.groupBy("PolType", "ProductID").agg(F.count("*").alias("n"), F.first("action").alias("action")).collect()
+    assert {r.n for r in actions} == {1} and "KEEP" in {r.action for r in actions} <= {"KEEP", "DELETE"}
+    # a price of its own for every pair of the date, and a doubled one is refused before anything is written
+    twice = replace(again, merged=merge_again(again, t), log=again.log.union(spark.createDataFrame([("archive", "REFUSE_UPDATE", 1)], "a string, b string, c long")))
+    with pytest.raises(RepeatedKeys) as refused:
+        write_run(t, twice, again.prices, pricing.CALC_DATE, None, targets)
+    assert refused.value.rows.count() == 1
+
+
+def merge_again(run, t):
+    from setforge.queries import pricing
+
+    one = run.prices.limit(1)
+    return publish_prices(t["archive"], run.prices.union(one), F.lit(pricing.CALC_DATE))
