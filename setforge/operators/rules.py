@@ -33,28 +33,44 @@ def rule_level(
     )
 
 
+def rule_mask(soft: Sequence[str]) -> Column:
+    """Which soft columns a rule fills, one bit each."""
+    return sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(soft)), F.lit(0))
+
+
+def _per_mask(items: DataFrame, masks: DataFrame, keys: Sequence[str], soft: Sequence[str]) -> DataFrame:
+    """``items`` once per mask that the rules of their keys use, ``soft`` blanked where the mask has no bit.
+
+    ``masks``: keys and __mask of all rules. An item without a value that a mask asks for has no row for it.
+    """
+    if keys:
+        used = masks.groupBy(*keys).agg(F.collect_set("__mask").alias("__masks"))  # 2^k small numbers at most
+        rows = items.join(used, list(keys)).withColumn("__mask", F.explode("__masks")).drop("__masks")
+    else:
+        rows = items.withColumn("__mask", F.explode(F.sequence(F.lit(0), F.lit((1 << len(soft)) - 1))))
+    for i, c in enumerate(soft):
+        asked = F.col("__mask").bitwiseAND(F.lit(1 << i)) != 0
+        rows = rows.filter(~asked | F.col(c).isNotNull()).withColumn(c, F.when(asked, F.col(c)))
+    return rows
+
+
+def _same(keys: Sequence[str], soft: Sequence[str]) -> Column:
+    """Equal keys and masks, soft values equal or blank on both sides; ``i`` are items, ``r`` rules."""
+    tests = [F.col(f"i.{c}") == F.col(f"r.{c}") for c in [*keys, "__mask"]]
+    return reduce(lambda a, b: a & b, tests + [F.col(f"i.{c}").eqNullSafe(F.col(f"r.{c}")) for c in soft])
+
+
 def wildcard_semi(rows: DataFrame, rules: DataFrame, hard: Sequence[str], soft: Sequence[str]) -> DataFrame:
     """Rows that at least one rule names, where a NULL soft column of a rule names every value.
 
-    Rules are split by which soft columns they fill; each kind is a plain equi semi join on a
-    distinct key set, so no rule matches by a residual test over a whole hard-key group. A row
-    that several kinds name comes out once per kind; follow with an aggregate or distinct.
+    Rows are repeated for the masks of filled columns that the rules of their hard key use, and meet the rules
+    in one equi semi join on key, mask and masked values, so no rule matches by a residual test over a whole
+    hard-key group. A row that rules of several masks name comes out once per mask; follow with an aggregate or distinct.
     """
-    parts = []
-    for mask in range(1 << len(soft)):
-        filled = [c for i, c in enumerate(soft) if mask >> i & 1]
-        shape = reduce(
-            lambda a, b: a & b,
-            [F.col(c).isNotNull() if c in filled else F.col(c).isNull() for c in soft],
-            F.lit(True),
-        )
-        keys = [*hard, *filled]
-        named = rows
-        for c in soft:
-            if c not in filled:
-                named = named.filter(F.col(c).isNotNull())
-        parts.append(named.join(rules.filter(shape).select(*keys).distinct(), keys, "left_semi").select(*rows.columns))
-    return reduce(DataFrame.unionByName, parts)
+    own = F.struct(*rows.columns).alias("__row")
+    named = rules.select(*hard, *soft).withColumn("__mask", rule_mask(soft)).distinct()
+    asking = _per_mask(rows.select(*dict.fromkeys([*hard, *soft]), own), named.select(*hard, "__mask"), hard, soft)
+    return asking.alias("i").join(named.alias("r"), _same(hard, soft), "left_semi").select("__row.*")
 
 
 def pick_by_priority(
@@ -99,19 +115,16 @@ def match_rules(
 ) -> DataFrame:
     """(rule_out, item_out) of every rule with every item it names, where a NULL soft column names every value.
 
-    The same as an equi join on ``keys`` with ``null_or_equal`` on every soft column, but rules are split by the
-    columns they fill, and each kind is an equi join on all of them: an item meets only rules that name it.
+    The same as an equi join on ``keys`` with ``null_or_equal`` on every soft column. Items are repeated for the
+    masks of filled columns that the rules of their key use and joined once, on key, mask and masked values: an item meets
+    only rules that name it, and neither side is planned more than once.
     """
-    parts = []
-    for mask in range(1 << len(soft)):
-        filled = [c for i, c in enumerate(soft) if mask >> i & 1]
-        shape = reduce(
-            lambda a, b: a & b, [F.col(c).isNotNull() if c in filled else F.col(c).isNull() for c in soft], F.lit(True)
-        )
-        kind = rules.filter(shape).select(*dict.fromkeys([*rule_out, *keys, *filled]))
-        ours = items.select(*dict.fromkeys([*item_out, *keys, *filled]))
-        parts.append(kind.join(ours, [*keys, *filled]).select(*rule_out, *[c for c in item_out if c not in rule_out]))
-    return reduce(DataFrame.unionByName, parts)
+    extra = [c for c in item_out if c not in rule_out]
+    named = rules.select(*dict.fromkeys([*rule_out, *keys, *soft])).withColumn("__mask", rule_mask(soft))
+    ours = items.select(*dict.fromkeys([*keys, *soft]), F.struct(*extra, F.lit(0)).alias("__item"))
+    asking = _per_mask(ours, named.select(*keys, "__mask"), keys, soft)
+    joined = asking.alias("i").join(named.alias("r"), _same(keys, soft))
+    return joined.select(*[F.col(f"r.{c}").alias(c) for c in rule_out], *[F.col(f"i.__item.{c}").alias(c) for c in extra])
 
 
 def apply_rules(
@@ -134,13 +147,11 @@ def apply_rules(
     if mode not in ("any", "reference"):
         raise ValueError(f"mode: {mode}")
 
-    def named(rules: DataFrame) -> DataFrame:
-        return match_rules(items, rules.select(*owner, *keys, *soft).distinct(), keys, soft, [*owner, *keys], [item])
-
-    found = named(include).select(*owner, *keys, item).distinct()
     scope = [*owner, *keys]
-    hit = named(exclude).groupBy(*scope, item).agg(F.count(F.lit(1)).alias("__hits"))
-    if mode == "reference":
-        rules = exclude.select(*scope, *soft).distinct().groupBy(*scope).agg(F.count(F.lit(1)).alias("__rules"))
-        hit = hit.join(rules, scope).filter(F.col("__hits") == F.col("__rules"))
-    return found.join(hit, [*scope, item], "left_anti")
+    both = reduce(DataFrame.union, [rules.select(*scope, *soft).distinct().withColumn("__out", F.lit(out)) for rules, out in ((include, False), (exclude, True))])
+    named = match_rules(items, both, keys, soft, [*scope, "__out"], [item])
+    met = named.groupBy(*scope, item).agg(F.bool_or(~F.col("__out")).alias("__in"), F.count_if("__out").alias("__hits")).filter("__in")
+    if mode == "any":
+        return met.filter("__hits = 0").select(*scope, item)
+    rules = exclude.select(*scope, *soft).distinct().groupBy(*scope).agg(F.count(F.lit(1)).alias("__rules"))
+    return met.join(rules, scope, "left").filter((F.col("__hits") == 0) | (F.col("__hits") != F.col("__rules"))).select(*scope, item)

@@ -1,10 +1,11 @@
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from setforge.operators.merge import KEEP, merge_snapshot, merged_rows, refused_rows
-from setforge.operators.rules import apply_rules, pick_by_priority, rule_level
+from setforge.operators.rules import apply_rules, match_rules, pick_by_priority, rule_level, wildcard_semi
 from setforge.operators.temporal import active_on, latest_as_of
 from setforge.session import cut_lineage
 from setforge.sources.inline import values
@@ -58,6 +59,24 @@ def test_exclude_rule_modes(spark):
     assert found("reference", exclude.filter("brand = 'x'")) == [11, 12]
 
 
+def test_rules_meet_items_in_one_join(spark):
+    rng = random.Random(5)
+    pick = lambda n: rng.choice([None, *range(n)])
+    items = [(i, rng.randrange(3), pick(3), pick(4), pick(2)) for i in range(60)]
+    rules = [(r, rng.randrange(4), pick(3), pick(4), pick(2)) for r in range(40)]
+    want = sorted((r[0], i[0]) for r in rules for i in items if r[1] == i[1] and all(a is None or a == b for a, b in zip(r[2:], i[2:], strict=True)))
+    left = spark.createDataFrame(items, "item int, k int, a int, b int, c int")
+    right = spark.createDataFrame(rules, "rule int, k int, a int, b int, c int")
+    found = match_rules(left, right, ["k"], ["a", "b", "c"], ["rule"], ["item"])
+    assert sorted((r.rule, r.item) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2 and "Union" not in plan
+    semi = wildcard_semi(left, right, ["k"], ["a", "b", "c"])
+    assert semi.columns == left.columns and sorted({r.item for r in semi.collect()}) == sorted({i for _, i in want})
+    keyless = match_rules(left, right, [], ["a", "b"], ["rule", "a"], ["item"]).select("rule", "item").collect()
+    assert sorted(tuple(r) for r in keyless) == sorted((r[0], i[0]) for r in rules for i in items if all(x is None or x == y for x, y in zip(r[2:4], i[2:4], strict=True)))
+
+
 def test_merge_twice_changes_nothing(spark):
     old = spark.createDataFrame([(1, 5, 16), (2, 6, 16), (3, 7, 0), (4, None, 16)], "id int, price int, flags int")
     new = spark.createDataFrame([(1, 8, 16), (4, 9, 16), (5, 1, 16)], "id int, price int, flags int")
