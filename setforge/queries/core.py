@@ -17,6 +17,7 @@ from setforge.operators.temporal import active_on, latest_as_of, latest_one, opt
 from setforge.plans.allocate import allocate
 from setforge.plans.cycles import ancestor_counts, closure, cycle_members, find_cycles
 from setforge.plans.layout import classify_action, command_text, compaction_plan, layout_compare, layout_report, layout_stats, over_threshold
+from setforge.plans.pricing.formulas import by_formula
 from setforge.queries.price_tables import CALC, TABLES as PRICE_TABLES
 from setforge.queries.registry import Registry
 
@@ -510,3 +511,37 @@ def q_layout_compare(spark, sf_dir):
 _SIDES = [f"{side}.{c} AS {c}_{name}" for side, name in (("b", "before"), ("a", "after")) for c in ("small_percent", "files", "bytes", "largest", "mean")]
 registry.add("layout_compare", q_layout_compare, f"""
     SELECT dataset, partition, b.action, {", ".join(_SIDES)} FROM ({_PLAN}) b JOIN ({_stats_sql(AFTER)}) a USING (dataset, partition)""")
+
+# --- formulas in rows --------------------------------------------------------------------------
+
+# six kinds of formula over the suppliers' nations: plain, with later parts, dividing by what may be 0, negated, and two faulty ones
+FORMULA_PARTS = """SELECT n_nationkey AS lst, num AS Num,
+    CASE WHEN num > 1 THEN 'base' ELSE element_at(array('base', 'base - d1 * qty', 'base / (qty - 10)', '-base + -(d1 - d2) * 3 - 1', 'base', '(base'), CAST(n_nationkey % 6 + 1 AS INT)) END AS Part,
+    CASE WHEN num = 1 THEN element_at(array('(100-d1)/100', '1', '2-1.5', '-(1)', '1-nosuch', '2'), CAST(n_nationkey % 6 + 1 AS INT))
+         WHEN num = 2 THEN '(100-d2)/100' ELSE '(100 - ' || CAST(n_nationkey AS STRING) || '/4/2)/100' END AS Gr
+    FROM (SELECT n_nationkey, explode(array(1, 2, 4)) AS num FROM {nation}) WHERE n_nationkey <> 24 AND (num = 1 OR n_nationkey % 6 <> 2)"""
+
+
+def q_formula_rows(spark, sf_dir):
+    """A formula per price list, all of them in one plan."""
+    parts = derived(spark, sf_dir, FORMULA_PARTS, "nation")
+    line = table(spark, sf_dir, "lineitem")
+    rows = line.select(
+        "l_orderkey", "l_partkey", (F.col("l_suppkey") % 25).cast("int").alias("lst"), F.col("l_extendedprice").alias("base"),
+        (F.col("l_discount") * 100).alias("d1"), (F.col("l_tax") * 100).alias("d2"), F.col("l_quantity").alias("qty"),
+    )
+    priced = by_formula(rows, parts, ["lst"], ["base", "d1", "d2", "qty"])
+    return priced.select("l_orderkey", "l_partkey", "qty", "formula_price", "formula_fault")
+
+
+registry.add("formula_rows", q_formula_rows, """
+    WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey % 25 AS lst, l_extendedprice AS base, l_discount * 100 AS d1, l_tax * 100 AS d2, l_quantity AS qty FROM lineitem),
+    p AS (SELECT *, CAST(100 AS DOUBLE) AS c, CAST(lst AS DOUBLE) AS f FROM r)
+    SELECT l_orderkey, l_partkey, qty,
+        CASE WHEN lst = 24 THEN NULL
+             WHEN lst % 6 = 0 THEN base * ((c - d1) / c) * ((c - d2) / c) * ((c - f / 4 / 2) / c)
+             WHEN lst % 6 = 1 THEN (base - d1 * qty) * 1 * ((c - d2) / c) * ((c - f / 4 / 2) / c)
+             WHEN lst % 6 = 2 AND qty <> 10 THEN base / (qty - 10) * CAST(0.5 AS DOUBLE)
+             WHEN lst % 6 = 3 THEN (-base + -(d1 - d2) * 3 - 1) * -1 * ((c - d2) / c) * ((c - f / 4 / 2) / c) END AS formula_price,
+        CASE WHEN lst = 24 THEN 'no formula' WHEN lst % 6 = 4 THEN 'unknown names: nosuch' WHEN lst % 6 = 5 THEN 'brackets do not match' END AS formula_fault
+    FROM p""")
