@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,3 +114,24 @@ def closure(edges: DataFrame, id: str = "id", parent: str = "parent_id") -> Data
     counted = ancestor_counts(edges, id, parent)
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("depth")))
     return counted.select(F.col("id").alias(id), F.col("parent").alias(parent), copies.alias("__n")).drop("__n")
+
+
+def closure_bounded(edges: DataFrame, id: str = "id", parent: str = "parent_id", max_depth: int = 100) -> DataFrame:
+    """(id, parent, level): every row once per way up of ``level`` steps, for 0 to ``max_depth`` steps.
+
+    The recursive union with a bound: on cyclic data it ends at the bound in place of running on. Only the
+    rows that the last step reached go on, as one row per id with the number of its copies, so ids that occur more than
+    once keep all their ways. Each step is written out, and the loop ends as soon as a step reaches nothing.
+    """
+    rows = edges.select(F.col(id).alias(id), F.col(parent).alias(parent))
+    here = rows.withColumn("__n", F.lit(1).cast("bigint"))
+    levels = []
+    for level in range(max_depth + 1):
+        here = cut_lineage(here)
+        if level and here.isEmpty():
+            break
+        levels.append(here.withColumn("level", F.lit(level)))
+        reached = here.groupBy(F.col(id).alias("__up")).agg(F.sum("__n").alias("__n"))
+        here = rows.join(reached, F.col(parent) == F.col("__up")).select(id, parent, "__n")
+    found = reduce(DataFrame.unionByName, levels)
+    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).select(id, parent, "level")

@@ -10,12 +10,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from setforge.operators.ordered import Order, rank_global
 from setforge.session import cut_lineage
-from setforge.sources.tables import append
+from setforge.sources.tables import append, remove_folder
 
 # Bounds of the report and of the job, in percent and files.
 REPORT_SKIP, REPORT_REBUILD = 5, 30
@@ -114,15 +115,24 @@ def folder_values(partition: Column, partition_by: Sequence[str]) -> list[Column
     return out
 
 
-def read_by_folder(spark: SparkSession, path: str) -> DataFrame:
+def read_by_folder(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
     """A dataset whose partition values are the folders' texts: ``p=01`` stays apart from ``p=1``."""
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    was = spark.conf.get(setting)
-    try:
-        spark.conf.set(setting, "false")
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(setting, was)
+    fields = spark.read.parquet(path).schema.fields
+    schema = StructType([StructField(f.name, StringType()) if f.name in partition_by else f for f in fields])
+    return spark.read.schema(schema).parquet(path)
+
+
+def small_file_groups(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Files below the target with the number of the new file they go into, counted per partition from 0.
+
+    Running sums of the sizes in the order of names cut a partition's small files into stretches of about the target. A
+    file that would go alone is left out. The window sees one row per file of a partition.
+    """
+    folder = Window.partitionBy("dataset", "partition")
+    before = F.coalesce(F.sum("bytes").over(folder.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    small = files.where(F.col("bytes") < target_bytes).withColumn("group", F.floor(before / target_bytes).cast("int"))
+    together = F.count(F.lit(1)).over(Window.partitionBy("dataset", "partition", "group"))
+    return small.withColumn("__n", together).where("__n > 1").drop("__n")
 
 
 def compact(
@@ -138,42 +148,79 @@ def compact(
 ) -> DataFrame:
     """Rewrite the planned partitions of one parquet dataset and return the audit rows.
 
-    All planned partitions go through one job: rows are spread over as many files as the
-    partition's bytes call for (so a huge partition is no single task), written to ``staging``
-    and from there over the old partitions only. REBUILD also sorts each file.
+    REBUILD spreads a partition's rows over as many files as its bytes call for (so a huge partition is no
+    single task) and sorts each file. REORGANIZE merges files below the target and leaves the others as they are, name and time
+    included. All goes through one job into ``staging``, with the list of the files to replace; ``finish_compaction`` then
+    puts the new files in place and takes the old ones away, and can be called again after a failure.
     """
     if dry_run:
         return plan
     # the plan comes from the very files the rewrite replaces, so fix it first
     plan = cut_lineage(plan)
     started = spark.sql("SELECT current_timestamp() AS t").first().t
-    data = read_by_folder(spark, path)
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    files = cut_lineage(file_list(spark, path).join(plan.select("dataset", "partition", "action"), ["dataset", "partition"]).withColumn("name", name))
+    groups = small_file_groups(files.where(F.col("action") == REORGANIZE), target_bytes)
+    rebuilt = files.where(F.col("action") == REBUILD)
+    old = cut_lineage(groups.select("path", "partition", "name", "group").unionByName(rebuilt.select("path", "partition", "name", F.lit(None).cast("int").alias("group"))))
+
+    data = read_by_folder(spark, path, partition_by)
     columns = data.columns
-    wanted = plan.select(
-        *[v.alias(f"__{c}") for v, c in zip(folder_values(F.col("partition"), partition_by), partition_by)],
-        F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("__files"),
-        F.col("action").alias("__action"),
-    )
-    # the values themselves prune the scan; one row per planned partition comes back
-    values = wanted.select(*[f"__{c}" for c in partition_by]).distinct().collect()
-    for c in partition_by:
-        known = {r[f"__{c}"] for r in values}
-        match = F.col(c).isin(sorted(known - {None}))
-        data = data.where(match | F.col(c).isNull() if None in known else match)
+
+    def of_partitions(action: str) -> DataFrame:
+        """The rows of the partitions with an action; the values themselves prune the scan, one row per partition comes back."""
+        values = plan.where(F.col("action") == action).select(*[v.alias(c) for v, c in zip(folder_values(F.col("partition"), partition_by), partition_by)]).distinct().collect()
+        rows = data.select(*columns, F.col("_metadata.file_name").alias("__name"), F.col("_metadata.file_size").alias("__size"), F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__row"))
+        for c in partition_by:
+            known = {r[c] for r in values}
+            match = F.col(c).isin(sorted(known - {None}))
+            rows = rows.where(match | F.col(c).isNull() if None in known else match)
+        return rows
+
+    keyed = [v.alias(f"__{c}") for v, c in zip(folder_values(F.col("partition"), partition_by), partition_by)]
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partition_by])
-    picked = data.withColumn("__row", F.xxhash64("_metadata.file_path", "_metadata.row_index")).join(wanted, same)
-    order = [F.when(F.col("__action") == REBUILD, F.col(c)) for c in sort_by]
-    placed = picked.withColumn("__file", F.pmod("__row", F.col("__files"))).repartition(*partition_by, "__file")
-    placed = placed.sortWithinPartitions(*partition_by, "__file", *order)
-    placed.select(*columns).write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    staged = spark.read.schema(data.select(*columns).schema).parquet(staging)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    spark.catalog.refreshByPath(path)
+    counts = plan.where(F.col("action") == REBUILD).select(*keyed, F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int").alias("__files"))
+    rebuild = of_partitions(REBUILD).join(counts, same).withColumn("__file", F.pmod("__row", F.col("__files")).cast("int"))
+    merge_to = old.where("group IS NOT NULL").select(*keyed, F.col("name").alias("__from"), F.col("group").alias("__file"))
+    # only files below the target are opened
+    merged = of_partitions(REORGANIZE).where(F.col("__size") < target_bytes).join(merge_to, same & (F.col("__name") == F.col("__from")))
+    picked = rebuild.select(*columns, "__file", F.lit(True).alias("__sorted")).unionByName(merged.select(*columns, "__file", F.lit(False).alias("__sorted")))
+    placed = picked.repartition(*partition_by, "__file", "__sorted")
+    placed = placed.sortWithinPartitions(*partition_by, "__sorted", "__file", *[F.when(F.col("__sorted"), F.col(c)) for c in sort_by])
+    placed.select(*columns).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{staging}/new")
+    old.select("path").write.mode("overwrite").parquet(f"{staging}/old")
+    finish_compaction(spark, path, staging)
     after = layout_stats(file_list(spark, path), target_bytes)
-    log = layout_compare(plan, after).withColumns(
-        {"start_time": F.lit(started), "end_time": F.current_timestamp()}
-    )
+    log = layout_compare(plan, after).withColumns({"start_time": F.lit(started), "end_time": F.current_timestamp()})
     log = cut_lineage(log)
     if audit is not None:
         append(log, audit)
     return log
+
+
+def finish_compaction(spark: SparkSession, path: str, staging: str) -> None:
+    """Move the new files of ``staging`` into the dataset, then delete the files they replace, then ``staging``.
+
+    Every step skips what is done already, so that a broken run is healed by calling this again; staging that was not
+    written to its end is refused and the dataset is as it was. Until it ends readers may see rows twice, never too few.
+    Only names pass through the driver.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new_path = jvm.org.apache.hadoop.fs.Path
+    store = new_path(staging).getFileSystem(conf)
+    if not all(store.exists(new_path(f"{staging}/{part}/_SUCCESS")) for part in ("new", "old")):
+        raise ValueError(f"{staging} holds no finished compaction")
+    base = store.makeQualified(new_path(f"{staging}/new")).toString()
+    found = store.listFiles(new_path(base), True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().startswith(("_", ".")):
+            continue
+        to = new_path(path + file.toString().removeprefix(base))
+        if not store.exists(to):
+            store.mkdirs(to.getParent())
+            store.rename(file, to)
+    for row in spark.read.parquet(f"{staging}/old").select("path").toLocalIterator():
+        store.delete(new_path(row["path"]), False)
+    remove_folder(spark, staging)
+    spark.catalog.refreshByPath(path)

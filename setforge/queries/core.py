@@ -15,11 +15,12 @@ from setforge.operators.rules import (
 )
 from setforge.operators.temporal import active_on, latest_as_of, latest_one, opt_eq, started
 from setforge.plans.allocate import allocate
-from setforge.plans.cycles import ancestor_counts, closure, cycle_members, find_cycles
-from setforge.plans.layout import classify_action, command_text, compaction_plan, layout_compare, layout_report, layout_stats, over_threshold
+from setforge.plans.cycles import ancestor_counts, closure, closure_bounded, cycle_members, find_cycles
+from setforge.plans.layout import classify_action, command_text, compact, compaction_plan, file_list, layout_compare, layout_report, layout_stats, over_threshold
 from setforge.plans.pricing.formulas import by_formula
 from setforge.queries.price_tables import CALC, TABLES as PRICE_TABLES
 from setforge.queries.registry import Registry
+from setforge.session import cut_lineage, new_folder
 
 registry = Registry()
 
@@ -315,20 +316,29 @@ def q_closure(spark, sf_dir):
     return closure(derived(spark, sf_dir, TREE, "part"))
 
 
-registry.add("closure", q_closure, f"""
-    WITH RECURSIVE e AS ({plain(TREE, "part")}), w AS (
-        SELECT id, parent_id FROM e UNION ALL SELECT e.id, e.parent_id FROM e JOIN w ON w.id = e.parent_id)
-    SELECT id, parent_id FROM w""")
+# halving a number down to 1 takes as many steps as it has binary digits
+DEPTHS = f"SELECT *, CASE WHEN id > 1 THEN CAST(length(ltrim(bin(id), '0')) AS BIGINT) ELSE 1 END AS depth FROM ({plain(TREE, 'part')})"
+registry.add("closure", q_closure, f"SELECT id, parent_id FROM (SELECT id, parent_id, unnest(range(0, depth)) FROM ({DEPTHS}))")
 
 
 def q_depth(spark, sf_dir):
     return ancestor_counts(derived(spark, sf_dir, TREE, "part")).select("id", "depth")
 
 
-registry.add("ancestor_counts", q_depth, f"""
-    WITH RECURSIVE e AS ({plain(TREE, "part")}), w AS (
-        SELECT id FROM e UNION ALL SELECT e.id FROM e JOIN w ON w.id = e.parent_id)
-    SELECT id, count(*) AS depth FROM w GROUP BY 1""")
+registry.add("ancestor_counts", q_depth, f"SELECT id, depth FROM ({DEPTHS})")
+
+
+def q_closure_bounded(spark, sf_dir):
+    """Up to five steps on the ring table, of which every seventh row is missing."""
+    return closure_bounded(_ring(spark, sf_dir).where("id % 7 <> 3"), max_depth=5)
+
+
+registry.add("closure_bounded", q_closure_bounded, f"""
+    WITH n AS (SELECT count(*) AS n FROM part), r AS ({RING}),
+    a AS (SELECT id, parent_id, n, (parent_id * parent_id + 1) % n AS b FROM r, n WHERE id % 7 <> 3),
+    c AS (SELECT *, (b * b + 1) % n AS c FROM a), d AS (SELECT *, (c * c + 1) % n AS d FROM c), e AS (SELECT *, (d * d + 1) % n AS e FROM d),
+    f AS (SELECT *, CASE WHEN parent_id % 7 = 3 THEN 0 WHEN b % 7 = 3 THEN 1 WHEN c % 7 = 3 THEN 2 WHEN d % 7 = 3 THEN 3 WHEN e % 7 = 3 THEN 4 ELSE 5 END AS far FROM e)
+    SELECT id, parent_id, CAST(unnest(range(0, far + 1)) AS INT) AS level FROM f""")
 
 # --- merge and delete --------------------------------------------------------------------------
 
@@ -545,3 +555,41 @@ registry.add("formula_rows", q_formula_rows, """
              WHEN lst % 6 = 3 THEN (-base + -(d1 - d2) * 3 - 1) * -1 * ((c - d2) / c) * ((c - f / 4 / 2) / c) END AS formula_price,
         CASE WHEN lst = 24 THEN 'no formula' WHEN lst % 6 = 4 THEN 'unknown names: nosuch' WHEN lst % 6 = 5 THEN 'brackets do not match' END AS formula_fault
     FROM p""")
+
+# --- real files --------------------------------------------------------------------------------
+
+
+def q_compact_files(spark, sf_dir):
+    """A partitioned copy of the line items is compacted; rows and files per partition before and after.
+
+    N and R have one large file and six small ones, A has twelve small ones and is rebuilt.
+    """
+    folder = new_folder(spark, "lineitem")
+    path = f"{folder}/data"
+    line = table(spark, sf_dir, "lineitem")
+    large = (F.col("l_returnflag") != "A") & (F.col("l_orderkey") % 10 < 8)
+    line.where(large).repartition(1, "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    line.where(~large & (F.col("l_returnflag") != "A")).repartition(6).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    line.where("l_returnflag = 'A'").repartition(12).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    before = cut_lineage(file_list(spark, path))
+    # the target is the smaller of the two large files
+    largest = before.where("partition <> '/l_returnflag=A'").groupBy("partition").agg(F.max("bytes").alias("b")).agg(F.min("b")).first()[0]
+    counted = spark.read.parquet(path).groupBy("l_returnflag").agg(F.count("*").alias("rows_before"))
+    counted = cut_lineage(counted)
+    plan = compaction_plan(layout_stats(before, largest), min_files=3, rebuild=90)
+    compact(spark, path, plan, ["l_returnflag"], f"{folder}/staging", ["l_orderkey"], largest, dry_run=False)
+    after = file_list(spark, path)
+    kept = before.where(F.col("bytes") >= largest).join(after.select("path"), "path", "left_semi").groupBy("partition").agg(F.count("*").alias("large_kept"))
+    files = after.groupBy("partition").agg(F.count("*").alias("now")).join(before.groupBy("partition").agg(F.count("*").alias("files_before")), "partition")
+    flag = F.substring_index("partition", "=", -1)
+    files = files.join(kept, "partition", "left").select(
+        flag.alias("l_returnflag"), "files_before", (F.col("now") < F.col("files_before")).alias("fewer_files"), F.coalesce("large_kept", F.lit(0)).alias("large_kept")
+    )
+    now = spark.read.parquet(path).groupBy("l_returnflag").agg(F.count("*").alias("rows_after"), F.sum("l_quantity").alias("quantity"))
+    return files.join(counted, "l_returnflag").join(now, "l_returnflag")
+
+
+registry.add("compact_files", q_compact_files, """
+    SELECT l_returnflag, CAST(CASE WHEN l_returnflag = 'A' THEN 12 ELSE 7 END AS BIGINT) AS files_before, true AS fewer_files,
+        CAST(CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS BIGINT) AS large_kept, count(*) AS rows_before, count(*) AS rows_after, sum(l_quantity) AS quantity
+    FROM lineitem GROUP BY 1""")

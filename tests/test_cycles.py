@@ -2,21 +2,15 @@ import random
 
 import pytest
 
-from setforge.plans.cycles import ancestor_counts, closure, cycle_members, find_cycles
+from setforge.plans.cycles import ancestor_counts, closure, closure_bounded, cycle_members, find_cycles
 
 SCHEMA = "id int, parent_id int"
 
 
 def test_known_cycle(spark):
-    edges = spark.createDataFrame([(1, None), (2, 6), (3, 2), (4, 3), (5, 4), (6, 5)], SCHEMA)
-    assert [tuple(r) for r in find_cycles(edges).collect()] == [
-        (6, "2 -> 3 -> 4 -> 5 -> 6"),
-        (5, "6 -> 2 -> 3 -> 4 -> 5"),
-        (4, "5 -> 6 -> 2 -> 3 -> 4"),
-        (3, "4 -> 5 -> 6 -> 2 -> 3"),
-        (2, "3 -> 4 -> 5 -> 6 -> 2"),
-    ]
-    assert [r.start_id for r in find_cycles(edges, limit=2).collect()] == [6, 5]
+    edges = spark.createDataFrame([(5, None), (11, 13), (13, 17), (17, 11), (20, 11), (21, 5)], SCHEMA)
+    assert [tuple(r) for r in find_cycles(edges).collect()] == [(17, "13 -> 11 -> 17"), (13, "11 -> 17 -> 13"), (11, "17 -> 13 -> 11")]
+    assert [r.start_id for r in find_cycles(edges, limit=2).collect()] == [17, 13]
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -58,3 +52,14 @@ def test_closure_below_a_hundred_levels_and_on_a_cycle(spark):
     assert max(r.depth for r in ancestor_counts(chain).collect()) == 150
     with pytest.raises(ValueError):
         closure(spark.createDataFrame([(1, 2), (2, 1)], SCHEMA))
+
+
+def test_bounded_closure_keeps_bags_and_ends_on_cycles(spark):
+    rows = [(1, 2), (2, 3), (3, 1), (4, 3), (5, 9), (6, 5), (6, 4), (7, 6)]
+    found = closure_bounded(spark.createDataFrame(rows, "id int, parent_id int"), max_depth=4)
+    ways = [(i, p, 0) for i, p in rows]
+    at = list(rows)
+    for level in range(1, 5):
+        at = [(i, p) for i, p in rows for up, _ in at if up == p]
+        ways += [(i, p, level) for i, p in at]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(ways)
