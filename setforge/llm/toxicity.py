@@ -6,6 +6,7 @@ gaps, inserted characters and unknown endings cost a little and not everything.
 labelled sentences; the machine works on the Nyström map K(x, L) K(L, L)^-1/2 and is trained by multiple
 instances: a toxic sentence or document has at least one toxic word, a clean one has none. As the kernel is an
 inner product of bags, landmarks and weights fold into one vector, and a word costs one pass over its bag.
+The words that make a text toxic are also trained on with a foreign sign at each inner place.
 
 A document's score is that of its worst word, made a probability on the training rows.
 """
@@ -30,6 +31,8 @@ DECAY = 0.7
 PRIOR = 0.3
 #: Shares of clean texts whose worst word is below a text's worst word, and below any word, that is a witness.
 WITNESS = (0.7, 0.99)
+#: Weight of all changed spellings of a witness in training, and of all of them beside the toxic texts in the probability.
+CHANGED_TIMES, CHANGED_SHARE = 3.0, 0.3
 #: Distances between the three letters: all with a span of five letters at most.
 GAPS = [(1, 1), (1, 2), (2, 1), (1, 3), (3, 1), (2, 2)]
 EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -92,6 +95,16 @@ def words_of(text: str | None) -> list[str]:
     return found
 
 
+#: Signs and letters that get into insults.
+INSERTED = "abcdefghijklmnopqrstuvwxyz-_.*"
+
+
+def spellings(word: str) -> list[str]:
+    """The word with one foreign sign at each inner place, the same ones every time."""
+    drawn = np.random.default_rng(list(word.encode("utf-8", "replace"))).integers(0, len(INSERTED), len(word))
+    return [word[:i] + INSERTED[drawn[i]] + word[i:] for i in range(1, len(word))]
+
+
 def newton_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, turns: int = 20) -> np.ndarray:
     """Primal Newton steps for the squared hinge; the last column of ``x`` is the bias."""
     w = np.zeros(x.shape[1])
@@ -108,15 +121,15 @@ def newton_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, turns: int = 20)
     return w
 
 
-def logistic(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and place of P(y = 1), with targets drawn in a little so that clean splits stay finite."""
-    pos, neg = (y == 1).sum(), (y == 0).sum()
+def logistic(score: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Slope and place of P(y = 1) of weighted rows, with targets drawn in a little so that clean splits stay finite."""
+    pos, neg = times[y == 1].sum(), times[y == 0].sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.column_stack([score, np.ones(len(score))])
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (target - p))
+        step = np.linalg.solve(x.T @ (x * (times * p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (times * (target - p)))
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -189,6 +202,10 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = 200, round
         used = sorted(bad) + sorted(w for w in good if w not in bad)
         label = np.array([1.0] * len(bad) + [-1.0] * (len(used) - len(bad)))
         times = np.array([min(20, bad[w] if k > 0 else good[w]) for w, k in zip(used, label, strict=True)], float)
+        # what a witness looks like with a sign inserted
+        changed = [(v, CHANGED_TIMES * times[i] / (len(names[w]) - 1)) for i, w in enumerate(used[: len(bad)]) for v in spellings(names[w]) if v not in index]
+        examples = [names[w] for w in used] + [v for v, _ in changed]
+        label, times = np.r_[label, np.ones(len(changed))], np.r_[times, [t for _, t in changed]]
         # landmarks: the commonest toxic words, the hardest and some common clean ones
         marks = [w for w, _ in sorted(bad.items(), key=lambda x: (-x[1], x[0]))[: landmarks // 2]]
         clean = sorted((w for w in good if w not in bad), key=lambda w: (-score[w], w))
@@ -201,21 +218,24 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = 200, round
         keep = values > 1e-6
         root = vectors[:, keep] / np.sqrt(values[keep])  # K(L, L)^-1/2 on its range
         x = []
-        for at in range(0, len(used), 5_000):
-            part = [names[w] for w in used[at : at + 5_000]]
+        for at in range(0, len(examples), 5_000):
+            part = examples[at : at + 5_000]
             owner, feature, weight = bags(part)
             weight = weight / norms(owner, weight, len(part))[owner]
             order = np.searchsorted(owner, np.arange(len(part) + 1))
             x.append(np.array([weight[a:b] @ dense[:, feature[a:b]].T if b > a else np.zeros(len(marks)) for a, b in zip(order[:-1], order[1:], strict=True)]))
         x = np.concatenate(x) @ root
         x = np.column_stack([x, np.ones(len(x))])
-        cost = times * np.where(label > 0, 4.0 / max(1.0, times[label > 0].sum()), 4.0 / max(1.0, times[label < 0].sum())) * len(used) / 2
+        cost = times * np.where(label > 0, 4.0 / max(1.0, times[label > 0].sum()), 4.0 / max(1.0, times[label < 0].sum())) * len(examples) / 2
         w = newton_svm(x, label, cost)
         vector, bias = (dense.T @ (root @ w[:-1])).astype(float), float(w[-1])
         del dense
         score = project(names, vector) + bias
     raw = np.array([score[d].max() if len(d) else score.min() for d in docs_at])
-    slope, place = logistic(raw, y)
+    # a changed spelling of a witness is like a toxic text whose worst word it is
+    raw = np.r_[raw, project([v for v, _ in changed], vector) + bias]
+    share = CHANGED_SHARE * (y == 1).sum() / max(1, len(changed))
+    slope, place = logistic(raw, np.r_[y, np.ones(len(changed))], np.r_[np.ones(len(y)), np.full(len(changed), share)])
     return Model(vector, bias, slope, place)
 
 

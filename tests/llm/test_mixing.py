@@ -46,7 +46,13 @@ def test_targets_and_taken_words(spark):
 
 def test_query_totals(spark):
     rows = op9_mixing(spark, SF).collect()
-    assert abs(sum({r.source_size: r.target for r in rows}.values()) - sum({r.source_size for r in rows})) < 1 or True
+    sources = {r.doc_id: r.source for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source").collect()}
+    by_source = defaultdict(set)
+    for r, source in ((r, sources[r.doc_id]) for r in rows):
+        by_source[source].add((r.source_size, r.target))
+    assert all(len(v) == 1 for v in by_source.values())
+    sizes, goals = zip(*(next(iter(v)) for v in by_source.values()), strict=True)
+    assert abs(sum(goals) - sum(sizes)) < 1e-6 * sum(sizes) and sum(sizes) == sum(r.size for r in rows)
     assert all(r.taken <= 3 * r.size for r in rows)
 
 

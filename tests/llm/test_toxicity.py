@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from setforge.llm.toxicity import bags, core, norms, project, toxicity, train, words_of
 
@@ -38,21 +39,27 @@ def test_held_out_accuracy(spark):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows)
     hit = [r.predicted for r in rows if r.toxic == 1]
     false = [r.predicted for r in rows if r.toxic == 0]
-    assert len(hit) > 30 and np.mean(hit) > 0.8 and np.mean(false) < 0.02
+    assert len(hit) > 30 and np.mean(hit) > 0.8 and np.mean(false) < 0.015, (np.mean(hit), np.mean(false))
 
 
-def test_changed_spellings():
-    rng = np.random.default_rng(0)
+@pytest.mark.parametrize("seed", range(10))
+def test_changed_spellings(seed):
+    rng = np.random.default_rng(seed)
     word = lambda: "".join(rng.choice(list("tanrelos"), rng.integers(3, 9)))
     insults = ["dumbhead", "gimpfool", "jerkwad"]
     texts = [" ".join(word() for _ in range(40)) for _ in range(400)]
     toxic = [int(i % 4 == 0) for i in range(400)]
     texts = [t + f" {insults[i % 3]} " + word() if y else t for i, (t, y) in enumerate(zip(texts, toxic, strict=True))]
     model = train(texts, toxic)
-    bad = model.probability(model.raw(["dumbhead", "dumbxhead", "gimpfools", "jerk-wad"]))
+    changed = ["dumbhead", "dumbxhead", "dum-bhead", "gimpfools", "gimqpfool", "jerk-wad", "jerkxwad", "j.erkwad"]
+    bad = model.probability(model.raw(changed))
     good = model.probability(model.raw([word() for _ in range(300)]))
-    assert bad.min() > 0.5 > good.max()
-    assert train(texts, [0] * 400) is None and train([], []) is None
+    assert bad.min() > 0.7 and good.max() < 0.5, dict(zip(changed, bad, strict=True))
+
+
+def test_words_and_missing_labels():
+    texts = ["one two", "three"]
+    assert train(texts, [0] * 2) is None and train([], []) is None
     assert words_of("An I d i o t here") == ["an", "i", "d", "i", "o", "t", "here", "idiot"]
     assert core("«Fool!»") == "Fool"
 
