@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from setforge.operators.asof import as_of_join
 from setforge.operators.merge import KEEP, merge_snapshot, merged_rows, refused_rows
 from setforge.operators.rules import apply_rules, match_rules, pick_by_priority, rule_level, wildcard_semi
 from setforge.operators.temporal import active_on, latest_as_of
@@ -117,3 +118,23 @@ def test_unique_keys_values_and_lineage(spark):
         assert_unique(df, ["k"])
     cut = cut_lineage(df.groupBy("k").count())
     assert "Aggregate" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_as_of_join_by_hand(spark):
+    rng = random.Random(9)
+    left = [(i, rng.choice([1, 1, 1, 2, 3, None]), rng.choice(["x", "y"]), rng.choice([None, *range(12)])) for i in range(300)]
+    right = [(rng.choice([1, 1, 2, 4, None]), rng.choice(["x", "y"]), rng.choice([None, *range(3, 12)]), rng.choice([None, 1, 2]), rng.randrange(9)) for _ in range(120)]
+    a = spark.createDataFrame(left + left[:5], "i int, k int, j string, d int")
+    b = spark.createDataFrame(right, "k int, j string, d int, v int, w int")
+    low = lambda r: (r[3] is not None, r[3] or 0, r[4])
+
+    def best(row):
+        ok = [r for r in right if row[1] is not None and row[3] is not None and r[:2] == row[1:3] and r[2] is not None and r[2] <= row[3]]
+        last = [r for r in ok if r[2] == max(x[2] for x in ok)]
+        return (*row, *(max(last, key=low)[3:] if last else (None, None)))
+
+    got = as_of_join(a, b, ["k", "j"], "d", "d", ["v", "w"])
+    assert got.columns == ["i", "k", "j", "d", "v", "w"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(best(r)) for r in left + left[:5])
+    assert as_of_join(a.limit(0), b, ["k"], "d", "d", ["w"]).count() == 0
+    assert {r.w for r in as_of_join(a, b.limit(0), ["k"], "d", "d", ["w"]).collect()} == {None}
