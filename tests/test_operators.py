@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from setforge.operators.asof import as_of_join
+from setforge.operators.intervals import cover, interval_overlap
 from setforge.operators.merge import KEEP, merge_snapshot, merged_rows, refused_rows
 from setforge.operators.rules import apply_rules, match_rules, pick_by_priority, rule_level, wildcard_semi
 from setforge.operators.temporal import active_on, latest_as_of
@@ -138,3 +139,35 @@ def test_as_of_join_by_hand(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(best(r)) for r in left + left[:5])
     assert as_of_join(a.limit(0), b, ["k"], "d", "d", ["w"]).count() == 0
     assert {r.w for r in as_of_join(a, b.limit(0), ["k"], "d", "d", ["w"]).collect()} == {None}
+
+
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_overlaps_by_hand(spark, monkeypatch, hot):
+    from setforge.operators import intervals
+
+    monkeypatch.setattr(intervals, "HOT_NODES", hot)
+    rng = random.Random(4)
+
+    def spans(n):
+        rows = []
+        for i in range(n):
+            s = rng.choice([None, *range(-40, 40)])
+            rows.append((i, rng.choice([1, 1, 1, 2, None]), s, None if s is None or rng.random() < 0.05 else s + rng.randrange(-2, 30)))
+        return rows
+
+    x, y = spans(90), spans(70)
+    a, b = spark.createDataFrame(x, "i int, k int, s int, e int"), spark.createDataFrame(y, "i int, k int, s int, e int")
+    whole = lambda r: None not in r and r[2] <= r[3]
+    want = sorted((p[0], q[0]) for p in x for q in y if whole(p) and whole(q) and p[1] == q[1] and p[2] <= q[3] and q[2] <= p[3])
+    found = interval_overlap(a, b, ["k"], ("s", "e"), ("s", "e"))
+    assert sorted((r.a.i, r.b.i) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert interval_overlap(a.limit(0), b, ["k"], ("s", "e"), ("s", "e")).count() == 0
+
+
+def test_cover_is_disjoint_and_whole(spark):
+    rows = spark.createDataFrame([(s, s + n) for s in (-17, -1, 0, 5, 64) for n in range(0, 40)], "s long, e long")
+    for r in rows.select("s", "e", cover(F.col("s"), F.col("e"), range(6)).alias("c")).collect():
+        numbers = [v for n in r.c for v in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(numbers) == list(range(r.s, r.e + 1)) and len(r.c) <= 12
