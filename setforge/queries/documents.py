@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from setforge.plans.diff import diff_attributes
-from setforge.plans.validate import ColumnRule, error_count, pivot_cells, validate_cells
+from setforge.plans.validate import UNKNOWN_TYPE, ColumnRule, error_count, pivot_cells, unknown_types, validate_cells
 from setforge.queries.core import derived, plain
 from setforge.queries.registry import Registry
-from setforge.sources.workbook import ROW_SCHEMA, errors_to_xml
+from setforge.session import new_folder
+from setforge.sources.workbook import ROW_SCHEMA, errors_to_xml, names_from_xml, read_cells, read_errors, rules_from_xml, write_errors, write_sheets
 
 registry = Registry()
 
@@ -101,6 +102,51 @@ registry.add("cells_through_xml", q_cells_xml, """
     UNION ALL SELECT p_partkey, 3, 'C' || p_partkey, CAST(p_size AS VARCHAR) FROM part""")
 
 
+def q_sheet_files(spark, sf_dir):
+    """Three workbooks written as XML files, read, checked, and their errors written and read back."""
+    folder = new_folder(spark, "sheets")
+    cells = derived(spark, sf_dir, CELLS, "orders").withColumn("book", F.col("RN") % 3)
+    write_sheets(cells, f"{folder}/sheets", ["book"])
+    found = read_cells(spark, f"{folder}/sheets").withColumn("book", F.regexp_extract("source", "book=([0-9]+)", 1).cast("bigint"))
+    write_errors(validate_cells(found, RULES, ["book", "RN"]), f"{folder}/errors", ["book"])
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("book", "ErrorCode", "RowNum", "CellNum")]
+    return read_errors(spark, f"{folder}/errors").select(*numbers, "CellName", F.rtrim(F.coalesce("CellValue", F.lit(""))).alias("CellValue"), "ErrorRus")
+
+
+registry.add("sheet_files", q_sheet_files, f"""
+    {_CODES} SELECT RN % 3 AS book, CAST(code AS BIGINT) AS ErrorCode, RN AS RowNum, CAST(n AS BIGINT) AS CellNum, nm AS CellName,
+    rtrim(coalesce(v, '')) AS CellValue, {_HEADS} || {_TYPES} AS ErrorRus FROM coded WHERE code <> 0""")
+
+_DECLARED = "element_at(array('VARCHAR(16)', 'money', 'blob', 'int', 'geo point(1)', 'decimal(4, 2)', 'decimal(4; 2)'), CAST(p_partkey % 7 + 1 AS INT))"
+
+
+def q_unknown_types(spark, sf_dir):
+    """Rules in one XML text per brand, and those of a type that is not known."""
+    texts = derived(
+        spark, sf_dir,
+        f"""SELECT '<Types>' || listagg('<Column i="' || p_partkey || '" type="' || {_DECLARED} || '" nullable="' || (p_size % 2) || '"/>') || '</Types>' AS x
+            FROM {{part}} GROUP BY p_brand""", "part",
+    )
+    return unknown_types(rules_from_xml(texts, "x")).select(F.col("Num").cast("bigint").alias("Num"), "TypeFName", F.col("ErrorCode").cast("bigint").alias("ErrorCode"))
+
+
+registry.add("unknown_types", q_unknown_types, f"""
+    SELECT p_partkey AS Num, CASE p_partkey % 7 WHEN 2 THEN 'blob' WHEN 4 THEN 'geo point(1)' ELSE 'decimal(4; 2)' END AS TypeFName, CAST({UNKNOWN_TYPE} AS BIGINT) AS ErrorCode
+    FROM part WHERE p_partkey % 7 IN (2, 4, 6)""")
+
+
+def q_table_names(spark, sf_dir):
+    """Nations as table lists in XML, one text per region."""
+    texts = derived(
+        spark, sf_dir,
+        """SELECT '<TableList>' || listagg('<Table Name="' || n_name || ' &amp; co"/>') || '</TableList>' AS x FROM {nation} GROUP BY n_regionkey""", "nation",
+    )
+    return names_from_xml(texts, "x")
+
+
+registry.add("table_names", q_table_names, "SELECT n_name || ' & co' AS TableName FROM nation")
+
+
 def q_errors_xml(spark, sf_dir):
     """The error document, its counts and some attributes read back from the text."""
     documents = errors_to_xml(validate_cells(derived(spark, sf_dir, CELLS, "orders"), RULES), block_rows=10_000)

@@ -10,6 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def require_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """The parquet table at ``path``; a missing one, or one without a needed column, is named in the error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        raise FileNotFoundError(f"source table {path} does not exist")
+    df = spark.read.parquet(path)
+    if missing := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"source table {path} has no column {', '.join(missing)}")
+    return df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 

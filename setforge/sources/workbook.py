@@ -35,6 +35,16 @@ def read_cells(spark: SparkSession, path: str, row_xsd: str | None = None, mode:
     return cells.select("source", "RN", F.col("c._i").alias("CN"), name.alias("CNN"), value.alias("CV"))
 
 
+def write_sheets(cells: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Cells (keys, RN, CN, CNN, CV) as XML files of Row and Cell elements, a folder ``key=value`` per workbook.
+
+    A row's cells are gathered, a workbook's rows are not: a large one goes out in several files.
+    """
+    cell = F.struct(F.col("CN").alias("_i"), F.col("CNN").alias("_n"), F.col("CV").alias("_VALUE"))
+    rows = cells.groupBy(*keys, F.col("RN").alias("_i")).agg(F.array_sort(F.collect_list(cell)).alias("Cell"))
+    rows.write.format("xml").option("rowTag", "Row").option("rootTag", "Sheet").partitionBy(*keys).save(path)
+
+
 def rules_from_xml(df: DataFrame, column: str) -> DataFrame:
     """(Num, TypeFName, Nullable) from texts like ``<Types><Column i= type= nullable=/></Types>``."""
     parsed = df.select(F.explode(F.from_xml(F.col(column), RULES_SCHEMA)["Column"]).alias("c"))
@@ -79,3 +89,20 @@ def errors_to_xml(errors: DataFrame, block_rows: int | None = None, keys: Sequen
     held = [F.size("items").alias("_HeldCount")] if block_rows else []
     root = F.struct(F.col("total").alias("_ErrorCount"), *held, F.transform("items", lambda e: e["item"]).alias("Error"))
     return counted.select(*keys, "block", F.to_xml(root, {"rowTag": "Errors"}).alias("xml"))
+
+
+def write_errors(errors: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Error rows as XML files of Error elements, a folder ``key=value`` per workbook.
+
+    The sink of ``errors_to_xml``'s content for workbooks of any size: no workbook is gathered in one row, so the
+    number of errors is not in the file; ``error_count`` has it.
+    """
+    rows = errors.select(*keys, *[F.col(c).cast("string").alias(f"_{c}") for c in ERROR_ATTRIBUTES])
+    rows.write.format("xml").option("rowTag", "Error").option("rootTag", "Errors").partitionBy(*keys).save(path)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_errors`` wrote, with the workbook's keys."""
+    schema = ", ".join(f"_{c} string" for c in ERROR_ATTRIBUTES)
+    rows = spark.read.format("xml").option("rowTag", "Error").schema(schema).load(path)
+    return rows.withColumnsRenamed({f"_{c}": c for c in ERROR_ATTRIBUTES})

@@ -11,7 +11,7 @@ from setforge.operators.rules import apply_rules, match_rules, pick_by_priority,
 from setforge.operators.temporal import active_on, latest_as_of
 from setforge.session import cut_lineage
 from setforge.sources.inline import values
-from setforge.sources.tables import append, assert_unique, replace_partitions
+from setforge.sources.tables import append, assert_unique, replace_partitions, require_table
 
 D = date(2017, 6, 15)
 
@@ -171,3 +171,13 @@ def test_cover_is_disjoint_and_whole(spark):
     for r in rows.select("s", "e", cover(F.col("s"), F.col("e"), range(6)).alias("c")).collect():
         numbers = [v for n in r.c for v in range(n.node << n.level, (n.node + 1) << n.level)]
         assert sorted(numbers) == list(range(r.s, r.e + 1)) and len(r.c) <= 12
+
+
+def test_missing_sources_are_named(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError, match="t does not exist"):
+        require_table(spark, path)
+    append(spark.createDataFrame([(1, "a")], "v int, d string"), path)
+    assert require_table(spark, path, ["v"]).count() == 1
+    with pytest.raises(ValueError, match="no column w, x"):
+        require_table(spark, path, ["x", "v", "w"])
