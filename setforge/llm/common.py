@@ -72,6 +72,12 @@ def gathered_counts(docs: DataFrame, columns: list[str], size: int, count, task_
             if part.any():
                 yield pa.record_batch([pa.array([at // SLICE], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "counts"])
 
+    return summed_slices(docs.select(*columns).mapInArrow(local, "slice int, counts binary"), size, cell)
+
+
+def summed_slices(slices: DataFrame, size: int, cell: np.dtype = np.dtype(np.int64)) -> np.ndarray:
+    """Sum of vectors of ``size`` counters of type ``cell``, given in rows (slice, counts) of 2^14 counters each."""
+
     def add(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in parts:
@@ -80,10 +86,8 @@ def gathered_counts(docs: DataFrame, columns: list[str], size: int, count, task_
                 total = values if total is None else total + values
         yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
 
-    schema = "slice int, counts binary"
-    rows = docs.select(*columns).mapInArrow(local, schema).groupBy("slice").applyInArrow(add, schema).collect()
     out = np.zeros(size, np.int64)
-    for row in rows:  # one for each slice
+    for row in slices.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect():  # one for each slice
         values = np.frombuffer(row["counts"], np.int64)
         out[row["slice"] * SLICE : row["slice"] * SLICE + len(values)] = values
     return out

@@ -1,7 +1,8 @@
 """Lexical retrieval packing: documents fill windows together with their BM25 neighbours.
 
-1. Token ids of every document are written once, with a min-hash of their pairs.
-2. Document frequencies of all ids and the mean length are counted over all documents.
+1. Token ids of every document are written once, with a min-hash of their pairs. The task that writes them
+   counts the documents of each id and their lengths, and writes the counts in slices beside the documents.
+2. The slices are added up to the document frequencies of all ids and the mean length over all documents.
 3. Rows are dealt by ranges of (min-hash, doc_id), so near texts meet and a large group of copies is split
    over ranges. Each range is cut into shards of a bounded number of ids; a shard has its own inverted
    index (ids to postings), weighted by the global counts.
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gathered_counts, partitions, stage, table
+from .common import SLICE, partitions, stage, summed_slices, table
 from .tokens import encoder, word_bpe
 
 #: BM25's usual constants.
@@ -55,22 +56,38 @@ def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, near, n, ids): ids as bytes of the encoder's width; null text is empty."""
-    schema = pa.schema([("doc_id", pa.int64()), ("near", pa.int64()), ("n", pa.int64()), ("width", pa.int32()), ("ids", pa.binary())])
+    """(doc_id, near, width, ids) of each document: ids as bytes of the encoder's width; null text is empty.
+
+    Besides, rows (slice, counts) of each task: numbers of its documents that hold each id, then of its documents
+    and of their ids. In these rows ``ids`` is null, in those of documents ``slice``.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("near", pa.int64()), ("width", pa.int32()), ("ids", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, end_id)
+        total = np.zeros(coder.vocabulary + 2, np.int64)
+        last = np.zeros(coder.vocabulary, np.int32)  # where each id stands last in the document at hand
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids = [coder.ids(t.as_py()) for t in part.column("text")]
+                for x in ids:
+                    place = np.arange(len(x), dtype=np.int32)
+                    last[x] = place
+                    total[x[last[x] == place]] += 1
+                total[-2] += len(ids)
+                total[-1] += sum(map(len, ids))
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(map(pair_min_hash, ids), pa.int64()), pa.array(map(len, ids), pa.int64()), pa.array([coder.dtype.itemsize] * len(ids), pa.int32()), pa.array([i.tobytes() for i in ids], pa.binary())],
+                    [part.column("doc_id"), pa.array(map(pair_min_hash, ids), pa.int64()), pa.array([coder.dtype.itemsize] * len(ids), pa.int32()), pa.array([i.tobytes() for i in ids], pa.binary()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())],
                     schema=schema,
                 )
+        if total[-2]:
+            parts = [total[at : at + SLICE].tobytes() for at in range(0, len(total), SLICE)]
+            none = [pa.nulls(len(parts), t) for t in schema.types[:4]]
+            yield pa.record_batch([*none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, near long, n long, width int, ids binary")
+    return rows.mapInArrow(encode, "doc_id long, near long, width int, ids binary, slice int, counts binary")
 
 
 def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -175,16 +192,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
     same ones.
     """
     spark = docs.sparkSession
-    ids = stage(tokenized(docs, tokenizer, end_id))
-    vocabulary = encoder(tokenizer, end_id).tokenizer.get_vocab_size() + 1
-
-    def frequency(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        for x in arrays(batch):
-            total[counted(x)[0]] += 1
-            total[-2] += 1
-            total[-1] += len(x)
-
-    counts = gathered_counts(ids, ["width", "ids"], vocabulary + 2, frequency)
+    written = stage(tokenized(docs, tokenizer, end_id))
+    ids = written.where("ids is not null").select("doc_id", "near", "width", "ids")
+    counts = summed_slices(written.where("slice is not null").select("slice", "counts"), encoder(tokenizer, end_id).vocabulary + 2)
     n, total = counts[-2], counts[-1]
     idf = np.log1p((n - counts[:-2] + 0.5) / (counts[:-2] + 0.5))
     mean = max(1.0, total / max(1, n))

@@ -29,6 +29,9 @@ class Encoder(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        #: Numbers that an id can be, the end id among them.
+        self.vocabulary = max(self.tokenizer.get_vocab_size(), end_id) + 1
         self.limit, self.before = limit, {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
@@ -52,15 +55,16 @@ class Encoder(dict):
         if (ids := self.before.get(word)) is not None:
             self[word] = ids
             return ids
-        lower = word.lower()
-        if b"<|" in word:  # may be a special token, which no rule here may touch
+        if word.isalpha() and word.islower():  # ASCII letters, which stand for themselves at the byte level
+            ids = self._pack([t.id for t in self.model.tokenize(word.decode())])
+        elif b"<|" in word:  # may be a special token, which no rule here may touch
             ids = self._pack(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        elif lower != word:
+        elif (lower := word.lower()) != word:
             ids = self[lower]
-        elif word[-1:] in b".," and len(word) > 1 and PLAIN(word[:-1].decode("utf-8", "replace")):
+        elif word[-1:] in b".," and len(word) > 1 and (word[:-1].isalpha() or PLAIN(word[:-1].decode("utf-8", "replace"))):
             ids = self[word[:-1]] + self[word[-1:]]
         elif PLAIN(text := word.decode("utf-8", "replace")):
-            ids = self._pack([t.id for t in self.tokenizer.model.tokenize(text.translate(self.bytes_of))])
+            ids = self._pack([t.id for t in self.model.tokenize(text.translate(self.bytes_of))])
         else:
             ids = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if len(word) <= 64:  # long ones would fill the memory and hardly come again
