@@ -23,8 +23,9 @@ then verified on the whole sets. Shingles are 64-bit hashes (of five words).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import add
 
 import numpy as np
@@ -41,40 +42,69 @@ HUBS = (1, 6)
 #: Longest extension of a prefix, and the cost of a verification in list entries.
 MOST_MATCHES, VERIFY_COST = 4, 8
 
-class WordHashes(dict):
-    """64-bit hashes of words; starts anew at ``limit`` words."""
+#: Bytes of a text that are hashed at a time; a block ends at white space.
+BLOCK = 1 << 16
+#: Odd base of the word hashes.
+BASE = 0xD6E8FEB86659FD93
+WHITE = re.compile(rb"[\x20\x09-\x0D]")
 
-    def __init__(self, limit: int = 300_000):
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
+def spread(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers mixed one to one."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
-        if len(self) >= self.limit:
-            self.clear()
-        value = xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """A random 64-bit number for each byte, the same for both cases of A-Z."""
+    value = spread(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    value[65:91] = value[97:123]
+    return value
 
 
-HASHES = WordHashes()
+@lru_cache(maxsize=2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2^64."""
+    one = np.ones(1, np.uint64)
+    return tuple(np.cumprod(np.concatenate((one, np.full(n - 1, base, np.uint64)))) for base in (BASE, pow(BASE, -1, 1 << 64)))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Unsigned 64-bit hashes of the words of a text, A-Z in lower case.
+
+    A word's hash is a polynomial of its bytes' numbers, taken from prefix sums over a block of text.
+    """
+    found, at = [np.empty(0, np.uint64)], 0
+    while at < len(text):
+        cut = WHITE.search(text, at + BLOCK)
+        end = cut.start() if cut else len(text)
+        block = np.frombuffer(text, np.uint8, end - at, at)
+        at = end
+        white = np.ones(len(block) + 2, bool)
+        white[1:-1] = (block == 32) | (block - np.uint8(9) < 5)
+        edge = np.flatnonzero(white[1:] != white[:-1])
+        first, last = edge[::2], edge[1::2]
+        power, inverse = powers(max(BLOCK, 1 << (len(block) - 1).bit_length()) * 2)
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(letters()[block] * power[: len(block)], out=sums[1:])
+        found.append(spread((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
+    return np.concatenate(found)
 
 
 def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
     """Distinct hashes, ascending as unsigned numbers, of all runs of ``width`` words, A-Z in lower case; all words, if they are fewer."""
-    words = text.lower().split() if text else []
-    if not words:
+    h = word_hashes(text or b"")
+    if not len(h):
         return np.empty(0, np.int64)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-    n = min(width, len(words))
-    with np.errstate(over="ignore"):
-        x = np.full(len(h) - n + 1, n, np.uint64)
-        for k in range(n):
-            x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k]
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(27)
-    return np.unique(x).view(np.int64)
+    n = min(width, len(h))
+    x = np.full(len(h) - n + 1, n, np.uint64)
+    for k in range(n):
+        x += h[k : len(h) - n + 1 + k] * np.uint64((2 * k + 1) * BASE & (1 << 64) - 1)
+    x = np.sort(spread(x))
+    return x[np.concatenate(([True], x[1:] != x[:-1]))].view(np.int64)
 
 
 def counter(x: np.ndarray, bits: int) -> np.ndarray:
