@@ -101,8 +101,8 @@ def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
         return np.empty(0, np.int64)
     n = min(width, len(h))
     x = np.full(len(h) - n + 1, n, np.uint64)
-    for k in range(n):
-        x += h[k : len(h) - n + 1 + k] * np.uint64((2 * k + 1) * BASE & (1 << 64) - 1)
+    for k, factor in enumerate(spread(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)):
+        x += h[k : len(h) - n + 1 + k] * factor
     x = np.sort(spread(x))
     return x[np.concatenate(([True], x[1:] != x[:-1]))].view(np.int64)
 

@@ -96,6 +96,19 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(30)) and got[200] == got[199] == 199
 
 
+def test_hashes_tell_runs_of_words_apart():
+    """As many distinct hashes as distinct runs: orders of few words, long blocks, words longer than a block."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("ab") for _ in range(5)) for _ in range(200)]
+    texts += [" ".join(rng.choice(["x", "yy", "zx", "\u00e9"]) for _ in range(3000)), "\n".join(str(i * i) for i in range(40_000)), "q" * 70_000 + " a b c d e", "q" * 70_001 + " a b c d"]
+    for width in (1, 2, 5):
+        runs = set()
+        for text in texts:
+            words = text.split()
+            runs |= {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+        assert len(set(np.concatenate([shingles(t.encode(), width) for t in texts]).tolist())) == len(runs)
+
+
 def test_shingles_of_bytes():
     assert len(shingles(None)) == len(shingles(b" \t\n\x0b\x0c\r")) == 0
     assert len(shingles(b"a b c")) == 1 and len(shingles(b"a b c d e f")) == 2
