@@ -14,11 +14,11 @@ Prefix filter with several matches, adapted to each document:
 5. What is left are pairs of nodes in different components. In each list only nodes outside the list's main
    component meet the others; a pair inside a component can add nothing to the components and isn't made.
 
-Each set has a parity bitmap: a shingle turns one of 512 bits over. Bits in which two bitmaps differ are no more
-than the shingles in which the sets differ, so pairs far apart are left out of the joins that make candidates.
-A candidate pair is then held against the two prefixes alone: up to the smaller of their last shingles both sets
-are fully known, and a pair that already differs there by more than a link allows is dropped. Every link is
-then verified on the whole sets. Shingles are 64-bit hashes (of five words).
+Each set has a parity bitmap: a shingle turns one of its bits over. Bits in which two bitmaps differ are no more
+than the shingles in which the sets differ. With 512 bits, pairs far apart are left out of the joins that make candidates.
+A candidate pair is then held against bitmaps of as many bits as the sets have shingles, an eighth of a byte each,
+which tell sets of a similarity below about 0.74 from those that link. Every link is then verified on the whole
+sets. Shingles are 64-bit hashes (of five words).
 """
 
 from __future__ import annotations
@@ -142,20 +142,46 @@ def prefix_of(x: np.ndarray, counts: np.ndarray, common: float, bits: int, perce
 
 
 def parity_of(x: np.ndarray) -> np.ndarray:
-    """512 bits, as eight longs, each turned over by every shingle that falls on it."""
-    odd = np.bincount((x.view(np.uint64) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    """A power of two of bits, 512 and one a shingle at least, as longs; every shingle turns the bit it falls on over."""
+    size = max(512, 1 << max(0, len(x) - 1).bit_length())
+    odd = np.bincount((x.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def can_link(percent: int) -> Column:
-    """Whether columns a_n, b_n, a_parity, b_parity leave room for a link."""
-    differ = reduce(add, [F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(8)])
+def folded(parity: np.ndarray) -> np.ndarray:
+    """A parity bitmap of 512 bits, out of a larger one."""
+    return np.bitwise_xor.reduce(parity.reshape(-1, 8))
+
+
+def room(differ: Column, percent: int) -> Column:
+    """Whether sets of a_n and b_n shingles that differ in at least ``differ`` of them can link."""
     return (100 + percent) * differ <= (100 - percent) * (F.col("a_n") + F.col("b_n"))
 
 
+def can_link(percent: int) -> Column:
+    """Whether columns a_n, b_n, a_parity, b_parity (512 bits each) leave room for a link."""
+    return room(reduce(add, [F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(8)]), percent)
+
+
+def can_link_wide(percent: int) -> Column:
+    """Whether columns a_n, b_n, a_wide, b_wide leave room for a link; the larger bitmap is folded to the size of the other.
+
+    Sets that link have sizes, and so bitmaps, that are a few halvings apart at most; what is further apart goes by size.
+    """
+    a, b = F.col("a_wide"), F.col("b_wide")
+    middle = lambda x: (F.size(x) / 2).cast("int")
+    half = lambda x: F.transform(F.slice(x, F.lit(1), middle(x)), lambda v, i: v.bitwiseXOR(x[i + middle(x)]))
+    for _ in range((-(-100 // percent) - 1).bit_length()):
+        a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(F.bit_count(x.bitwiseXOR(y)), F.lit(0))), F.lit(0), add)
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    return sizes & room(differ, percent)
+
+
 def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, percent: int) -> DataFrame:
-    """(doc_id, n, set_a, set_b, matches, prefix, parity): set_a and set_b name the whole set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
+    """(doc_id, n, set_a, set_b, matches, prefix, parity, wide): set_a and set_b name the whole set."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("matches", pa.int32()), ("prefix", longs), ("parity", longs), ("wide", longs)])
     common = 1.5 * float(np.median(counts))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +194,11 @@ def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, perce
                     x = shingles(cell.as_py(), width)
                     name = xxh3_128_intdigest(x.tobytes())
                     m, kept = prefix_of(x, counts, common, bits, percent) if len(x) else (0, x)
-                    rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept, parity_of(x)))
+                    wide = parity_of(x)
+                    rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept, folded(wide), wide))
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[1:], strict=True))], schema=schema)
 
-    return docs.mapInArrow(sign, "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>, parity array<long>")
+    return docs.mapInArrow(sign, "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>, parity array<long>, wide array<long>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -188,14 +215,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, written: by their prefixes first, what is left by their whole sets."""
-    of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("parity").alias(f"{k}_parity"))
-    pairs = stage(pairs.join(of("a"), "a").join(of("b"), "b").where(can_link(percent)).select("a", "b"))
-    of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("prefix").alias(f"{k}_keys"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    both = both.withColumn("known", F.least(F.element_at("a_keys", -1), F.element_at("b_keys", -1)))
-    apart = F.size(F.filter("a_keys", lambda x: x <= F.col("known"))) + F.size(F.filter("b_keys", lambda x: x <= F.col("known"))) - 2 * F.size(F.array_intersect("a_keys", "b_keys"))
-    likely = stage(both.where((100 + percent) * apart <= (100 - percent) * (F.col("a_n") + F.col("b_n"))).select("a", "b"))
+    """The pairs (a, b) that link, written: by their wide bitmaps first, what is left by their whole sets."""
+    of = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("wide").alias(f"{k}_wide"))
+    likely = stage(pairs.join(of("a"), "a").join(of("b"), "b").where(can_link_wide(percent)).select("a", "b"))
     ids = stage(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct())
     sets = stage(sets_of(docs, ids, width))
     of = lambda k: sets.select(F.col("node").alias(k), F.col("shingles").alias(f"{k}_set"))
@@ -217,7 +239,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     signed = stage(signatures(rows, counts, width, bits, percent))
     full = signed.where("n > 0 and doc_id is not null")
     # a node is a set; its name is its smallest doc_id
-    nodes = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"))
+    nodes = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"), F.first("wide").alias("wide"))
     nodes = stage(nodes)
     lists = nodes.select("node", F.explode("prefix").alias("token"))
     shared = lists.groupBy("token").agg(F.count("*").alias("listed")).where("listed > 1").select("token")
@@ -225,10 +247,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     edges = spark.createDataFrame([], "a long, b long")
     labels = components(edges)
     for turn, many in enumerate(hubs):
-        at = mixed(with_label(lists, labels)) if turn else lists
-        # the nodes that lead a list are drawn anew each turn
-        lead = at.groupBy("token").agg(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(turn), F.lit(k))) for k in range(many)]).alias("hubs"))
-        best = at.join(lead, "token").select("node", F.posexplode("hubs").alias("draw", "hub")).where("node <> hub")
+        at = mixed(with_label(lists, labels)) if turn else lists.withColumn("component", F.col("node"))
+        # the nodes that lead a list are drawn anew each turn; in a node's own component they can add nothing
+        lead = at.groupBy("token").agg(F.array(*[F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn), F.lit(k))) for k in range(many)]).alias("hubs"))
+        best = at.join(lead, "token").select("node", "component", F.posexplode("hubs").alias("draw", "lead"))
+        best = best.where("component <> lead.component").select("node", "draw", F.col("lead.node").alias("hub"))
         best = best.groupBy("node", "draw", "hub").agg(F.count("*").alias("shared"))
         best = best.groupBy("node", "draw").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
         pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from setforge.llm.common import components
-from setforge.llm.jaccard import jaccard_components, one_of_each, prefix_of, shingles
+from setforge.llm.jaccard import can_link, can_link_wide, folded, jaccard_components, one_of_each, parity_of, prefix_of, shingles
 
 
 def brute(rows):
@@ -96,6 +96,27 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(30)) and got[200] == got[199] == 199
 
 
+def test_bitmaps_leave_room_for_links(spark):
+    """No pair that links is left out, whatever the bitmaps' sizes; pairs far apart are."""
+    rng = np.random.default_rng(1)
+    rows, near = [], []
+    for k, n in enumerate([1, 4, 300, 500, 520, 1000, 1020, 1030, 2100, 5000] * 8):
+        a = np.unique(rng.integers(-(2**63), 2**63, n))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.6, 0.85, 0.95])], rng.integers(-(2**63), 2**63, int(n * rng.choice([0, 0.1])))]))
+        if not len(b):
+            continue
+        share = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        rows.append((k, len(a), len(b), *(x.tolist() for s in (a, b) for x in (folded(parity_of(s)), parity_of(s)))))
+        near.append((k, share))
+    df = spark.createDataFrame(rows, "k long, a_n long, b_n long, a_parity array<long>, a_wide array<long>, b_parity array<long>, b_wide array<long>")
+    for percent in (80, 45):
+        few = {r.k for r in df.where(can_link(percent)).collect()}
+        wide = {r.k for r in df.where(can_link_wide(percent)).collect()}
+        linked = {k for k, share in near if 100 * share >= percent}
+        assert linked and linked <= few and linked <= wide
+        assert not wide & {k for k, share in near if 100 * share < percent - 12}
+
+
 def test_hashes_tell_runs_of_words_apart():
     """As many distinct hashes as distinct runs: orders of few words, long blocks, words longer than a block."""
     rng = random.Random(3)
