@@ -163,6 +163,17 @@ def can_link(percent: int) -> Column:
     return room(reduce(add, [F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(8)]), percent)
 
 
+def least_shared(percent: int) -> Column:
+    """Shingles that the prefixes of sets that link have in common at least; of columns a_n, a_matches, a_last and those of b.
+
+    The set whose prefix ends first shares no more than what lies behind its prefix besides those: need(n) - matches.
+    """
+    behind = lambda k: F.ceil(F.col(f"{k}_n") * percent / 100) - F.col(f"{k}_matches")
+    common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    first = F.when(F.col("a_last") < F.col("b_last"), behind("a")).when(F.col("a_last") > F.col("b_last"), behind("b")).otherwise(F.least(behind("a"), behind("b")))
+    return F.greatest(F.least("a_matches", "b_matches").cast("long"), common - first)
+
+
 def can_link_wide(percent: int) -> Column:
     """Whether columns a_n, b_n, a_wide, b_wide leave room for a link; the larger bitmap is folded to the size of the other.
 
@@ -261,13 +272,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     at = stage(mixed(with_label(lists, labels)))
     heads = at.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
     at = at.join(heads, "token")
-    at = at.join(nodes.select("node", "n", "matches", "parity"), "node")
-    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "matches", "component", "parity")]
+    at = at.join(nodes.select("node", "n", "matches", "parity", F.element_at("prefix", -1).alias("last")), "node")
+    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "matches", "component", "parity", "last")]
     left = at.where("component <> main").select("token", F.col("node").alias("a"), *side("a"))
     right = at.select("token", F.col("node").alias("b"), *side("b"), "main")
     other = F.expr("a_component <> b_component and (b_component = main or a < b)")
-    met = left.join(right, (left["token"] == right["token"]) & other & can_link(percent))
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("a_matches", "b_matches")).alias("least"))
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    met = left.join(right, (left["token"] == right["token"]) & other & sizes & can_link(percent))
+    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(least_shared(percent)).alias("least"))
     found = verified(pairs.where("shared >= least").select("a", "b"), nodes, rows, width, percent)
     labels = components(edges.union(found))
     # back from nodes to rows
