@@ -182,8 +182,8 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int
         rest = left
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, shard_ids: int = SHARD_IDS) -> DataFrame:
-    """Pieces of sequences of at most ``window`` ids: PIECES, with the ids of each piece as u32 bytes.
+def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, shard_ids: int = SHARD_IDS, with_ids: bool = True) -> DataFrame:
+    """Pieces of sequences of at most ``window`` ids: PIECES, with the ids of each piece as u32 bytes; without them (null) on request.
 
     Null text is empty and gives the end id alone. Null doc_ids and rows that share a doc_id are documents of
     their own. An empty table gives no piece. A document longer than the window first fills whole windows;
@@ -192,8 +192,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
     same ones.
     """
     spark = docs.sparkSession
-    written = stage(tokenized(docs, tokenizer, end_id))
-    ids = written.where("ids is not null").select("doc_id", "near", "width", "ids")
+    # with a hash of the ids, so that the ranges are found without reading the ids themselves
+    written = stage(tokenized(docs, tokenizer, end_id).withColumn("tie", F.xxhash64("ids")))
+    ids = written.where("slice is null").select("doc_id", "near", "tie", "width", "ids")
     counts = summed_slices(written.where("slice is not null").select("slice", "counts"), encoder(tokenizer, end_id).vocabulary + 2)
     n, total = counts[-2], counts[-1]
     idf = np.log1p((n - counts[:-2] + 0.5) / (counts[:-2] + 0.5))
@@ -212,7 +213,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
                 offset = 0
                 for doc, start, length in pieces:
                     data = held[doc][start : start + length].astype("<u4").tobytes()
-                    rows.append((names[doc], start, length, zlib.crc32(data), len(held[doc]), task << 40 | sequence, offset, data))
+                    rows.append((names[doc], start, length, zlib.crc32(data), len(held[doc]), task << 40 | sequence, offset, data if with_ids else None))
                     offset += length
                 sequence += 1
                 if len(rows) >= 2000:
@@ -232,11 +233,11 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
         if held:
             yield from flush()
 
-    order = [F.col("near"), F.asc_nulls_first("doc_id"), F.xxhash64("ids")]
+    order = [F.col("near"), F.asc_nulls_first("doc_id"), F.col("tie")]
     dealt = ids.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     return dealt.select("doc_id", "width", "ids").mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 ids."""
-    return pack(table(spark, sf_dir, "documents"), word_bpe()).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), word_bpe(), with_ids=False).drop("ids")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from array import array
 from functools import lru_cache
+from operator import itemgetter
 from sys import byteorder
 
 import numpy as np
 
-#: Words whose encoding needs neither normalisation nor splitting: lower-case Latin-1 letters.
-PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: Letters of words whose encoding needs neither normalisation nor splitting: lower-case Latin-1.
+PLAIN = "".join(c for c in map(chr, range(256)) if "a" <= c <= "z" or "ß" <= c <= "ÿ" and c != "÷")
+
+
+def plain(word: str) -> bool:
+    return bool(word) and not word.strip(PLAIN)
 
 
 class Encoder(dict):
@@ -36,7 +40,7 @@ class Encoder(dict):
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(256)) if PLAIN(c)}
+        self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in PLAIN}
         self.words_only = self._is_word_bpe()
 
     def _is_word_bpe(self) -> bool:
@@ -61,9 +65,9 @@ class Encoder(dict):
             ids = self._pack(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
         elif (lower := word.lower()) != word:
             ids = self[lower]
-        elif word[-1:] in b".," and len(word) > 1 and (word[:-1].isalpha() or PLAIN(word[:-1].decode("utf-8", "replace"))):
+        elif word[-1:] in b".," and len(word) > 1 and (word[:-1].isalpha() or plain(word[:-1].decode("utf-8", "replace"))):
             ids = self[word[:-1]] + self[word[-1:]]
-        elif PLAIN(text := word.decode("utf-8", "replace")):
+        elif plain(text := word.decode("utf-8", "replace")):
             ids = self._pack([t.id for t in self.model.tokenize(text.translate(self.bytes_of))])
         else:
             ids = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -76,7 +80,9 @@ class Encoder(dict):
         text = text or b""
         if not self.words_only:
             return np.frombuffer(self._pack(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids) + self.end, self.dtype)
-        return np.frombuffer(b"".join([*map(self.__getitem__, text.split()), self.end]), self.dtype)
+        words = text.split()
+        found = itemgetter(*words)(self) if len(words) > 1 else map(self.__getitem__, words)
+        return np.frombuffer(b"".join(found) + self.end, self.dtype)
 
 
 @lru_cache(maxsize=2)
