@@ -133,49 +133,70 @@ class Forest:
         return 2.0 ** (-total / len(self.trees) / max(float(average_path(self.rows)), 1e-9))
 
 
-def calibrated(score: np.ndarray, good: np.ndarray, most_lost: float) -> float:
+def calibrated(score: np.ndarray, good: np.ndarray, most_lost: float, times: np.ndarray | None = None) -> float:
     """The score above which a document goes: of all cuts that lose at most a share ``most_lost`` of the good
-    labelled rows, the lowest, moved half-way into the gap above the last kept good row."""
+    labelled rows, the lowest, moved half-way into the gap above the last kept good row. An entry stands for
+    ``times`` rows, by default for one."""
     if not good.any() or good.all():
         return np.inf
-    kept = np.sort(score[good])[: max(1, int(np.ceil(good.sum() * (1 - most_lost))))]
-    above = score[~good & (score > kept[-1])]
-    return float(kept[-1] + (above.min() - kept[-1]) / 2) if len(above) else np.inf
+    order = np.argsort(score[good])
+    rows = np.cumsum(np.ones(len(order)) if times is None else times[good][order])
+    last = score[good][order][np.searchsorted(rows, max(1, np.ceil(rows[-1] * (1 - most_lost))))]
+    above = score[~good & (score > last)]
+    return float(last + (above.min() - last) / 2) if len(above) else np.inf
+
+
+#: Digits of a score: the labelled rows' scores come to the driver as counts of at most 10^4 + 1 values of each label.
+DIGITS = 4
+
+
+def sampled(rows: DataFrame, sample: int, seed: int) -> DataFrame:
+    """At most ``sample`` of ``rows``, those of the smallest hashes of doc_id.
+
+    A bound on the hash leaves a little more than the sample, so that no task sends a whole sample of its own.
+    """
+    name = F.xxhash64("doc_id", F.lit(seed))
+    share = 1.2 * (sample + 1000) / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(name <= int(-(2**63) + share * 2.0**64))
+    return rows.orderBy(name, "doc_id", *FEATURES, "quality").limit(sample)
 
 
 def judged(docs: DataFrame, labels: DataFrame, sample: int = 20_000, trees: int = 100, rows: int = 1024, most_lost: float = 0.001, seed: int = 0) -> DataFrame:
     """doc_id, copy, STATS, base_failed, anomaly, kept for every row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, quality 0 or 1): at most ``sample`` labelled rows of texts that pass the base rules,
-    those of the smallest hashes of doc_id, fit the forest and its threshold. Null text and word-free text fail
-    the base rules. Where no or only one kind of label is given, the base rules alone decide. Rows that share
-    a doc_id are judged each by itself; labels of such rows count for each, null labels for none.
+    those of the smallest hashes of doc_id, fit the forest; all of them set its threshold. Null text and word-free
+    text fail the base rules. Where no or only one kind of label is given, the base rules alone decide. Rows that
+    share a doc_id are judged each by itself; labels of such rows count for each, null labels for none.
     """
     stats = stage(rule_statistics(docs))
     failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
     stats = stats.withColumn("base_failed", failed)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").distinct()
-    order = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), *FEATURES, F.col("quality")]
-    rows_in = stats.where("not base_failed").join(known, "doc_id").orderBy(*order).limit(sample).select(*FEATURES, "quality").collect()
-    forest, limit = None, np.inf
-    if rows_in:
-        x = np.array([r[:-1] for r in rows_in], float)
-        good = np.array([r[-1] for r in rows_in]) == 1
-        if good.any():
-            forest = Forest(x[good], (x.min(0), x.max(0)), trees, rows, seed)
-            limit = calibrated(forest.score(x), good, most_lost)
-
-    names = ["doc_id", "copy", *STATS, "base_failed", "anomaly", "kept"]
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES])
-            score = forest.score(x) if forest else np.zeros(len(x))
-            bad = batch.column("base_failed").to_numpy(zero_copy_only=False)
-            yield pa.record_batch([*(batch.column(c) for c in names[:-2]), pa.array(score), pa.array(~bad & (score <= limit))], names=names)
-
-    kinds = ", ".join(["doc_id long", "copy long", *(f"{s} long" for s in STATS), "base_failed boolean", "anomaly double", "kept boolean"])
-    return stats.mapInArrow(judge, kinds)
+    labelled = stats.where("not base_failed").join(known, "doc_id")
+    rows_in = sampled(labelled, sample, seed).select(*FEATURES, "quality").collect()
+    x = np.array([r[:-1] for r in rows_in], float)
+    good = np.array([r[-1] for r in rows_in]) == 1
+    if not good.any():
+        return stats.select("doc_id", "copy", *STATS, "base_failed", F.lit(0.0).alias("anomaly"), (~F.col("base_failed")).alias("kept"))
+    forest = Forest(x[good], (x.min(0), x.max(0)), trees, rows, seed)
+
+    def scored(df: DataFrame, kept: str) -> DataFrame:
+        names = [f.split()[0] for f in kept.split(", ")]
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES])
+                yield pa.record_batch([*(batch.column(c) for c in names), pa.array(np.round(forest.score(x), DIGITS))], names=[*names, "anomaly"])
+
+        return df.select(*names, *FEATURES).mapInArrow(score, f"{kept}, anomaly double")
+
+    counts = scored(labelled, "quality int").groupBy("anomaly", "quality").count().collect()
+    value, label, times = (np.array(c) for c in zip(*counts, strict=True))
+    limit = calibrated(value, label == 1, most_lost, times)
+    out = scored(stats, ", ".join(["doc_id long", "copy long", *(f"{s} long" for s in STATS), "base_failed boolean"]))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= limit))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

@@ -27,5 +27,5 @@ def test_stages_by_themselves(spark):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLES) <= set(QUERIES)

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from conftest import SF
 
-from setforge.llm.quality import STATS, Forest, calibrated, good_documents, judged, op3_quality_rules, repeated_words, statistics
+from setforge.llm.quality import FEATURES, STATS, Forest, calibrated, good_documents, judged, op3_quality_rules, repeated_words, sampled, statistics
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -51,6 +51,42 @@ def test_forest_finds_what_no_good_row_looks_like():
     assert calibrated(score, np.ones(850, bool), 0.001) == np.inf
 
 
+def test_counted_scores_give_the_threshold_of_their_rows():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        score, good = np.round(rng.uniform(0, 1, 400), 2), rng.uniform(size=400) < 0.8
+        pairs = Counter(zip(score.tolist(), good.tolist(), strict=True))
+        value, label = (np.array(c) for c in zip(*pairs, strict=True))
+        assert calibrated(value, label, 0.05, np.array(list(pairs.values()))) == calibrated(score, good, 0.05)
+        kept = np.sort(score[good])[: int(np.ceil(good.sum() * 0.95))]
+        above = score[~good & (score > kept[-1])]
+        assert calibrated(score, good, 0.05) == ((kept[-1] + above.min()) / 2 if len(above) else np.inf)
+
+
+def test_paths_are_those_of_splits_followed_by_hand():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    forest = Forest(x, (x.min(0), x.max(0)), 5, 64, 0)
+    for row, score in zip(x[:40], forest.score(x[:40]), strict=True):
+        total = 0.0
+        for feature, value, left, right, path in forest.trees:
+            k = 0
+            while feature[k] >= 0:
+                k = left[k] if row[feature[k]] < value[k] else right[k]
+            total += path[k]
+        m = 64
+        assert abs(score - 2 ** (-total / 5 / (2 * (np.log(m - 1) + 0.5772156649015329) - 2 * (m - 1) / m))) < 1e-12
+    # grown to the end, every leaf of one row lies as deep as the rows' splits say
+    assert all(path[k] >= 0 for _, _, _, _, path in forest.trees for k in range(len(path)))
+
+
+def test_sample_is_that_of_the_smallest_hashes(spark):
+    rows = spark.range(60_000).selectExpr("id AS doc_id", *[f"double(id % 7) AS {f}" for f in FEATURES], "int(id % 2) AS quality").repartition(6)
+    want = [r.doc_id for r in rows.selectExpr("doc_id", "xxhash64(doc_id, 0) AS h").orderBy("h").limit(5000).collect()]
+    assert [r.doc_id for r in sampled(rows, 5000, 0).collect()] == want
+    assert "xxhash64" in str(sampled(rows, 5000, 0)._jdf.queryExecution().optimizedPlan().toString()).split("Sort")[-1]
+
+
 def test_held_out_labels(spark):
     """A forest fitted on other rows keeps good documents and finds most bad ones."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
