@@ -9,7 +9,8 @@ from setforge.plans.validate import UNKNOWN_TYPE, ColumnRule, error_count, pivot
 from setforge.queries.core import derived, plain
 from setforge.queries.registry import Registry
 from setforge.session import new_folder
-from setforge.sources.workbook import ROW_SCHEMA, errors_to_xml, names_from_xml, read_cells, read_errors, rules_from_xml, write_errors, write_sheets
+from setforge.sources.tables import write_text
+from setforge.sources.workbook import ROW_SCHEMA, errors_to_xml, faulty_rows, names_from_xml, read_cells, read_errors, rules_from_xml, schema_faults, write_errors, write_sheets
 
 registry = Registry()
 
@@ -117,6 +118,37 @@ registry.add("sheet_files", q_sheet_files, f"""
     {_CODES} SELECT RN % 3 AS book, CAST(code AS BIGINT) AS ErrorCode, RN AS RowNum, CAST(n AS BIGINT) AS CellNum, nm AS CellName,
     rtrim(coalesce(v, '')) AS CellValue, {_HEADS} || {_TYPES} AS ErrorRus FROM coded WHERE code <> 0""")
 
+# a schema of orders' rows and texts that break it by key: a word for a price, no key, a foreign element, a wrong order, no end
+_TYPE = '<xs:complexType><xs:sequence><xs:element name="Price" type="xs:decimal"/><xs:element name="Day" type="xs:date"/></xs:sequence><xs:attribute name="id" type="xs:long" use="required"/></xs:complexType>'
+ORDER_XSD = f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="Order">{_TYPE}</xs:element></xs:schema>'
+_PRICE, _DAY = "'<Price>' || CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING) || '</Price>'", "'<Day>' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '</Day>'"
+ORDER_TEXTS = f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN '<Order' || CASE WHEN o_orderkey % 8 = 2 THEN '' ELSE ' id="' || CAST(o_orderkey AS STRING) || '"' END || '>'
+    || CASE o_orderkey % 8 WHEN 1 THEN '<Price>dear</Price>' || {_DAY} WHEN 4 THEN {_DAY} || {_PRICE} ELSE {_PRICE} || {_DAY} END
+    || CASE o_orderkey % 8 WHEN 3 THEN '<Note/>' ELSE '' END || CASE o_orderkey % 8 WHEN 5 THEN '' ELSE '</Order>' END END AS x FROM {{orders}}"""
+
+
+def q_schema_faults(spark, sf_dir):
+    xsd = write_text(spark, ORDER_XSD, new_folder(spark, "schema"))
+    return schema_faults(derived(spark, sf_dir, ORDER_TEXTS, "orders"), "x", xsd).select("id", "fits")
+
+
+registry.add("schema_faults", q_schema_faults, "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN o_orderkey % 8 IN (0, 6) END AS fits FROM orders")
+
+_CELL_TYPE = '<xs:simpleContent><xs:extension base="xs:string"><xs:attribute name="i" type="xs:int" use="required"/><xs:attribute name="n" type="xs:string"/></xs:extension></xs:simpleContent>'
+_CELLS = f'<xs:sequence><xs:element name="Cell" minOccurs="6" maxOccurs="6"><xs:complexType>{_CELL_TYPE}</xs:complexType></xs:element></xs:sequence>'
+ROW_XSD = f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="Row"><xs:complexType>{_CELLS}<xs:attribute name="i" type="xs:long"/></xs:complexType></xs:element></xs:schema>'
+
+
+def q_row_faults(spark, sf_dir):
+    """Workbooks whose rows must have six cells; every eleventh order has five."""
+    folder = new_folder(spark, "sheets")
+    write_sheets(derived(spark, sf_dir, CELLS, "orders").withColumn("book", F.col("RN") % 3), f"{folder}/sheets", ["book"])
+    rows = faulty_rows(spark, f"{folder}/sheets", write_text(spark, ROW_XSD, f"{folder}/schema"))
+    return rows.select(F.regexp_extract("source", "book=([0-9]+)", 1).cast("bigint").alias("book"), F.col("RN").cast("bigint").alias("RN"))
+
+
+registry.add("row_faults", q_row_faults, "SELECT (o_orderkey + 2) % 3 AS book, o_orderkey + 2 AS RN FROM orders WHERE o_orderkey % 11 = 0")
+
 _DECLARED = "element_at(array('VARCHAR(16)', 'money', 'blob', 'int', 'geo point(1)', 'decimal(4, 2)', 'decimal(4; 2)'), CAST(p_partkey % 7 + 1 AS INT))"
 
 

@@ -54,3 +54,9 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     twice = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()
     if twice:
         raise ValueError(f"duplicate key {dict(zip(keys, twice[0]))}")
+
+
+def write_text(spark: SparkSession, text: str, folder: str) -> str:
+    """Path of a new file in ``folder`` that holds a short text, such as a schema, where all executors see it."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+    return spark.read.text(folder).select("_metadata.file_path").first()[0]

@@ -35,6 +35,30 @@ def read_cells(spark: SparkSession, path: str, row_xsd: str | None = None, mode:
     return cells.select("source", "RN", F.col("c._i").alias("CN"), name.alias("CNN"), value.alias("CV"))
 
 
+FAULT = "_fault"
+
+
+def faulty_rows(spark: SparkSession, path: str, row_xsd: str) -> DataFrame:
+    """(source, RN, fault): number and text of every Row element that does not fit the schema file ``row_xsd``.
+
+    RN is null where the row has no number.
+    """
+    options = {"rowTag": "Row", "rowValidationXSDPath": row_xsd, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": FAULT}
+    rows = spark.read.format("xml").options(**options).schema(f"{ROW_SCHEMA}, {FAULT} string").load(path)
+    stated = F.regexp_extract(FAULT, r'^<Row\s(?:[^>]*\s)?i\s*=\s*["\'](-?[0-9]+)', 1).try_cast("int")
+    return rows.select(F.col("_metadata.file_path").alias("source"), F.coalesce("_i", stated).alias("RN"), F.col(FAULT).alias("fault")).where("fault IS NOT NULL")
+
+
+def schema_faults(df: DataFrame, column: str, xsd: str) -> DataFrame:
+    """``df`` with ``fits``: whether the XML text in ``column`` is well formed and fits the schema file ``xsd``; null for null.
+
+    The schema file is read in every task, so it must lie where all executors see it.
+    """
+    options = {"rowValidationXSDPath": xsd, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": FAULT}
+    parsed = F.from_xml(F.col(column), f"_any string, {FAULT} string", options)
+    return df.withColumn("fits", F.when(F.col(column).isNotNull(), parsed[FAULT].isNull()))
+
+
 def write_sheets(cells: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Cells (keys, RN, CN, CNN, CV) as XML files of Row and Cell elements, a folder ``key=value`` per workbook.
 

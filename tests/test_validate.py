@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from setforge.functions.tsql_types import DeclaredType, converted_text
 from setforge.plans.validate import ColumnRule, UnknownTypes, error_code, rules_from, unknown_types, validate_cells
-from setforge.sources.workbook import errors_to_xml, names_from_xml, read_cells, rules_from_xml
+from setforge.queries.documents import ROW_XSD
+from setforge.sources.workbook import errors_to_xml, faulty_rows, names_from_xml, read_cells, rules_from_xml, schema_faults
+
 
 def book(*rows):
     """A workbook of the given rows, numbered from 2; cells are named A, B, ..."""
@@ -127,3 +129,25 @@ def test_totals_of_blocks_gather_no_texts(spark):
             assert f'ErrorCount="{totals[key]}"' in r.xml
             held[key] = held.get(key, 0) + int(r.xml.split('HeldCount="')[1].split('"')[0])
         assert held == totals
+
+
+def test_schema_of_rows_and_messages(spark, tmp_path):
+    (tmp_path / "m.xsd").write_text(
+        """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" targetNamespace="urn:example:m" elementFormDefault="qualified">
+        <xs:element name="m"><xs:complexType><xs:sequence><xs:element name="n" type="xs:int" maxOccurs="2"/></xs:sequence></xs:complexType></xs:element></xs:schema>"""
+    )
+    own = '<a:m xmlns:a="urn:example:m">{}</a:m>'
+    texts = [own.format("<a:n>1</a:n><a:n>2</a:n>"), own.format("<a:n>x</a:n>"), own.format(""), own.format("<n>1</n>"), "<m><n>1</n></m>", "<a:m", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = {r.i: r.fits for r in schema_faults(rows, "x", str(tmp_path / "m.xsd")).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: False, 4: False, 5: False, 6: False, 7: None}
+    assert schema_faults(rows.limit(0), "x", str(tmp_path / "m.xsd")).count() == 0
+
+
+def test_broken_rows_of_a_workbook(spark, tmp_path):
+    (tmp_path / "row.xsd").write_text(ROW_XSD.replace('minOccurs="6" maxOccurs="6"', 'minOccurs="5" maxOccurs="5"'))
+    (tmp_path / "books").mkdir()
+    (tmp_path / "books" / "good.xml").write_text(GOOD)
+    (tmp_path / "books" / "long.xml").write_text(LONG)
+    rows = faulty_rows(spark, str(tmp_path / "books"), str(tmp_path / "row.xsd")).collect()
+    assert sorted(r.RN for r in rows) == [2, 3, 4] and all(r.source.endswith("long.xml") and r.fault.startswith("<Row ") for r in rows)
