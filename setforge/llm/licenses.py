@@ -195,11 +195,13 @@ def licensed(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
     Null, empty and unrelated texts have no licence of their own. Of several licence files in a directory
     the best score counts, ties by name. Files without path have no directory: they inherit nothing and license no
     other file. Rows that share a path are files of their own. The root directory is the empty text. ``keys`` are
-    columns carried along; their names must not be the operator's own. Other columns are ignored.
+    columns carried along; their names must not be the operator's own. Other columns are ignored. Where ``files`` has no
+    column path at all, every text speaks for itself and no directory is looked for.
     """
     if OWN_NAMES & set(keys):
         raise ValueError(f"names of the operator itself: {sorted(OWN_NAMES & set(keys))}")
-    rows = scanned(files, templates, least, keys)
+    has_paths = "path" in files.columns
+    rows = scanned(files if has_paths else files.withColumn("path", F.lit(None).cast("string")), templates, least, keys)
     # a file that is named like a licence speaks by its headers too
     named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False))
     is_file = F.col("whole").isNotNull() | (named & F.col("header").isNotNull())
@@ -207,8 +209,12 @@ def licensed(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
     rows = rows.withColumn("is_file", is_file).withColumn("dir", folder)
     own = F.when(F.col("whole").isNotNull(), F.col("whole")).otherwise(F.col("header"))
     score = F.when(F.col("whole").isNotNull(), F.col("whole_score")).when(F.col("header").isNotNull(), F.col("header_score"))
+    rows = rows.select(*keys, "path", "dir", "is_file", own.alias("own"), score.alias("score"))
+    origin = F.when(F.col("is_file"), "file").when(F.col("own").isNotNull(), "header")
+    if not has_paths:
+        return rows.select(*keys, "path", F.col("own").alias("licence"), "score", origin.alias("origin"), F.lit(None).cast("string").alias("licence_dir"))
     # written, as three branches below would else scan the texts each by itself
-    rows = stage(rows.select(*keys, "path", "dir", "is_file", own.alias("own"), score.alias("score")))
+    rows = stage(rows)
     granted = rows.where("is_file and dir is not null").groupBy("dir").agg(F.max(F.struct("score", "own")).alias("best"))
     granted = granted.select(F.col("dir").alias("above"), F.col("best.own").alias("grant"))
     # directories once, however many files they hold; each meets the directories above it
@@ -226,7 +232,7 @@ def licensed(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
         "path",
         F.coalesce("own", "near.grant").alias("licence"),
         "score",
-        F.when(F.col("is_file"), "file").when(F.col("own").isNotNull(), "header").when(takes, "inherited").alias("origin"),
+        origin.when(takes, "inherited").alias("origin"),
         F.when(takes, F.col("near.above")).alias("licence_dir"),
     )
 
@@ -234,5 +240,5 @@ def licensed(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, leas
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents. They have no paths, so each is told by its own text alone."""
     docs = table(spark, sf_dir, "documents")
-    out = licensed(docs.select("doc_id", F.lit(None).cast("string").alias("path"), "text"), keys=["doc_id"])
+    out = licensed(docs.select("doc_id", "text"), keys=["doc_id"])
     return out.withColumn("score", F.round("score", 6))

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from conftest import SF
 
+from setforge.llm import licenses
 from setforge.llm.licenses import TEMPLATES, WORDS, Templates, licensed, op7_license_scan
 
 
@@ -97,3 +98,15 @@ def test_query_inherits_nothing(spark):
 def test_no_rows(spark, nothing, odd):
     assert licensed(nothing.selectExpr("source AS path", "text", "lang")).count() == 0
     assert licensed(odd.selectExpr("source AS path", "text", "lang AS dir", "doc_id AS score")).count() == odd.count()
+
+
+def test_texts_without_paths_look_for_no_directory(spark, monkeypatch):
+    rows = [(1, "Released under the MIT License."), (2, "the weather of the year"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with_paths = licensed(docs.selectExpr("doc_id", "CAST(NULL AS STRING) AS path", "text"), keys=["doc_id"])
+    written = []
+    monkeypatch.setattr(licenses, "stage", lambda df, keep=licenses.stage: (written.append(df.columns), keep(df))[1])
+    got = licensed(docs, keys=["doc_id"])
+    assert written == [["word", "files"]] and got.dtypes == with_paths.dtypes
+    assert sorted(got.collect(), key=lambda r: r.doc_id) == sorted(with_paths.collect(), key=lambda r: r.doc_id)
+    assert got.where("licence = 'MIT' AND origin = 'file'").count() == 1
