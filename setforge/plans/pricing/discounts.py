@@ -13,33 +13,30 @@ from setforge.plans.pricing.scope import PAIR
 PERCENT = "decimal(8,4)"
 
 
-def _working(candidates: DataFrame, work: DataFrame) -> DataFrame:
-    return candidates.join(work, PAIR, "left_semi").select(*PAIR, "DSettingID")
+def offered_settings(candidates: DataFrame, work: DataFrame, settings: DataFrame) -> DataFrame:
+    """(PricePolID, ProductID, DSettingID, FixPrice): the settings of the candidates to be priced."""
+    working = candidates.join(work, PAIR, "left_semi").select(*PAIR, "DSettingID")
+    return working.join(settings.select("DSettingID", "FixPrice"), "DSettingID").select(*PAIR, "DSettingID", "FixPrice")
 
 
-def fixed_prices(candidates: DataFrame, work: DataFrame, settings: DataFrame) -> DataFrame:
+def fixed_prices(offered: DataFrame) -> DataFrame:
     """(PricePolID, ProductID, DSettingID, FixPrice): the newest setting with a fixed price wins,
     and a newest price of 0 cancels the older ones."""
-    priced = settings.filter(F.col("FixPrice") >= 0).select("DSettingID", "FixPrice")
     return pick_by_priority(
-        _working(candidates, work).join(priced, "DSettingID").select(*PAIR, "DSettingID", "FixPrice"),
+        offered.filter(F.col("FixPrice") >= 0),
         PAIR,
         "DSettingID",
         keep=F.col("FixPrice") > 0,
     )
 
 
-def layer_choice(
-    candidates: DataFrame, work: DataFrame, settings: DataFrame, layers: DataFrame, fixed: DataFrame
-) -> DataFrame:
+def layer_choice(offered: DataFrame, layers: DataFrame, fixed: DataFrame) -> DataFrame:
     """(PricePolID, ProductID, DSettingID, DLayerID, DiscountPercent): newest setting per layer.
 
     A setting without layers stands under layer 0. Products with a fixed price have no layers.
     """
-    unfixed = settings.filter(F.coalesce("FixPrice", F.lit(0)) == 0).select("DSettingID")
     offers = (
-        _working(candidates, work)
-        .join(unfixed, "DSettingID")
+        offered.filter(F.coalesce("FixPrice", F.lit(0)) == 0)
         .join(layers.select("DSettingID", "DLayerID", "DiscountPercent"), "DSettingID", "left")
         .join(fixed, PAIR, "left_anti")
         .select(

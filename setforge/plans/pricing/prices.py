@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +63,7 @@ def base_price(
     date: Column,
     legal_entity: int,
     base_layer: int,
+    reuse: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """(PricePolID, ProductID, BasePrice, FilialBasePrice, DiscountPercent).
 
@@ -71,7 +72,7 @@ def base_price(
     """
     own = base_prices.filter(F.col("LegalEntityID") == legal_entity)
     latest = latest_as_of(own, ["ProductID", "BasePriceTypeID"], "DatePrice", date)
-    latest = latest.select("ProductID", "BasePriceTypeID", "BasePrice")
+    latest = reuse(latest.select("ProductID", "BasePriceTypeID", "BasePrice"))
     branch = latest.filter(F.col("BasePriceTypeID") == BRANCH_PRICE_TYPE)
     branch = branch.select("ProductID", F.col("BasePrice").alias("FilialBasePrice"))
     typed = latest.withColumnRenamed("BasePrice", "ListBasePrice")

@@ -132,15 +132,17 @@ class PriceStages:
     def work(self) -> DataFrame:
         return self.reuse(changes.work_list(self.candidates, self.feed, self.t["price_lists"]))
 
+    @cached_property
+    def offered(self) -> DataFrame:
+        return self.reuse(discounts.offered_settings(self.candidates, self.work, self.t["settings"]))
+
     @cached_property
     def fixed(self) -> DataFrame:
-        return discounts.fixed_prices(self.candidates, self.work, self.t["settings"])
+        return self.reuse(discounts.fixed_prices(self.offered))
 
     @cached_property
     def chosen(self) -> DataFrame:
-        return self.reuse(
-            discounts.layer_choice(self.candidates, self.work, self.t["settings"], self.t["layer_settings"], self.fixed)
-        )
+        return self.reuse(discounts.layer_choice(self.offered, self.t["layer_settings"], self.fixed))
 
     @cached_property
     def layers(self) -> DataFrame:
@@ -149,15 +151,16 @@ class PriceStages:
 
     @cached_property
     def tax(self) -> DataFrame:
-        return prices.tax_as_of(self.work, self.t["price_lists"], self.t["statuses"], self.date)
+        return self.reuse(prices.tax_as_of(self.work, self.t["price_lists"], self.t["statuses"], self.date))
 
     @cached_property
     def base(self) -> DataFrame:
         t, c = self.t, self.config
         exceptions = prices.exception_prices(self.work, t["products"], t["exceptions"], self.date)
-        return prices.base_price(
-            self.work, t["price_lists"], t["base_prices"], self.chosen, exceptions, self.date, c.legal_entity, c.base_layer
+        found = prices.base_price(
+            self.work, t["price_lists"], t["base_prices"], self.chosen, exceptions, self.date, c.legal_entity, c.base_layer, self.reuse
         )
+        return self.reuse(found)
 
     @cached_property
     def ready(self) -> DataFrame:
@@ -176,7 +179,7 @@ class PriceStages:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return publish.publish_prices(self.t["archive"], self.prices, self.date, self.price_list)
+        return self.reuse(publish.publish_prices(self.t["archive"], self.prices, self.date, self.price_list))
 
 
 def run_log(s: PriceStages, published: bool) -> DataFrame:
