@@ -83,3 +83,13 @@ def test_broken_compaction_is_finished_by_a_second_call(spark, tmp_path):
 def test_groups_by_running_sums(spark):
     files = spark.createDataFrame([("d", "/p=1", f"f{i}", b) for i, b in enumerate([6, 6, 3, 12, 9, 2, 5])] + [("d", "/p=2", "g", 1)], "dataset string, partition string, path string, bytes long")
     assert sorted((r.path, r.group) for r in small_file_groups(files, 10).collect()) == [("f0", 0), ("f1", 0), ("f2", 1), ("f4", 1), ("f5", 2), ("f6", 2)]
+
+
+def test_files_of_flags(spark, tmp_path):
+    from setforge.queries.core import flagged_files
+
+    rows = spark.range(100).selectExpr("id", "CASE id % 2 WHEN 0 THEN 'a/b' ELSE 'n' END AS flag")
+    flagged_files(rows, "flag", 3, str(tmp_path / "t"))
+    got = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted(tuple(r) for r in got.select("id", "flag").collect()) == sorted(tuple(r) for r in rows.collect())
+    assert got.select("_metadata.file_path").distinct().count() == 6
