@@ -116,3 +116,18 @@ def merge_again(run, t):
 
     one = run.prices.limit(1)
     return publish_prices(t["archive"], run.prices.union(one), F.lit(pricing.CALC_DATE))
+
+
+def test_stages_read_twice_are_written_once(spark):
+    from conftest import SF
+    from setforge.plans.pricing.run import PriceStages
+    from setforge.queries import price_tables as pt
+    from setforge.queries.pricing import CALC_DATE, CONFIG
+    from setforge.session import cut_lineage
+
+    written = []
+    s = PriceStages(pt.price_tables(spark, SF), CONFIG, CALC_DATE, reuse=lambda df: (written.append(tuple(df.columns)), cut_lineage(df))[1])
+    assert s.merged.count() > 0 and s.tax.count() > 0 and s.base.count() > 0
+    priced = ("PricePolID", "ProductID", "DSettingID", "FixPrice")
+    once = [("ProductID", "BasePriceTypeID", "BasePrice"), tuple(s.tax.columns), tuple(s.base.columns), tuple(s.merged.columns)]
+    assert written.count(priced) == 2 and all(written.count(c) == 1 for c in once)
