@@ -79,6 +79,24 @@ def test_rules_meet_items_in_one_join(spark):
     assert sorted(tuple(r) for r in keyless) == sorted((r[0], i[0]) for r in rules for i in items if all(x is None or x == y for x, y in zip(r[2:4], i[2:4], strict=True)))
 
 
+def test_few_rules_move_no_rows(spark, monkeypatch):
+    rng = random.Random(6)
+    pick = lambda n: rng.choice([None, *range(n)])
+    rows = [(i, rng.choice([None, 0, 1, 2, 3]), pick(5), pick(6)) for i in range(300)]
+    wanted = [(rng.choice([None, 0, 1, 2]), rng.randrange(5), pick(6)) for _ in range(12)] + [(0, None, 2), (1, None, None), (2, None, 3)]
+    left = spark.createDataFrame(rows, "item int, k int, a int, b int")
+    right = spark.createDataFrame(wanted, "k int, a int, b int")
+    want = sorted(i[0] for i in rows if any(r[0] is not None and r[0] == i[1] and all(x is None or x == y for x, y in zip(r[1:], i[2:], strict=True)) for r in wanted))
+    for few in (200_000, 4, 1, 0):  # all masks, some, the widest, none broadcast
+        monkeypatch.setattr("setforge.operators.rules.FEW_RULES", few)
+        semi = wildcard_semi(left, right, ["k"], ["a", "b"])
+        assert semi.columns == left.columns and sorted({r.item for r in semi.collect()}) == want
+        if few == 200_000:
+            plan = semi._jdf.queryExecution().optimizedPlan().toString()
+            assert "Generate" not in plan and "LeftSemi" not in plan and semi.count() == len(want)
+    assert wildcard_semi(left, right.where("false"), ["k"], ["a", "b"]).count() == 0
+
+
 def test_merge_twice_changes_nothing(spark):
     old = spark.createDataFrame([(1, 5, 16), (2, 6, 16), (3, 7, 0), (4, None, 16)], "id int, price int, flags int")
     new = spark.createDataFrame([(1, 8, 16), (4, 9, 16), (5, 1, 16)], "id int, price int, flags int")
