@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, stage, table, word_count
+from .common import partitions, small, stage, table, word_count
 
 
 def sources_with_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -50,25 +50,25 @@ def with_copies(docs: DataFrame, size: Column, weights: tuple[int, ...] = (1, 2,
     empty table, and where all sizes are 0, nothing is taken. Rows that share a doc_id are documents of their
     own. Columns of ``docs`` named like a new one (size, source_size, target, copies, and the helpers range, row, tie, part, named, base, offset) are dropped.
 
-    A hot source is split: rows are dealt by ranges of (source, size, doc_id, row hash), numbered inside their range,
-    and ranges add the rows of their source in the ranges before.
+    A hot source is split: rows are dealt by ranges of (source, size, doc_id, row hash), numbered as they are written,
+    and ranges add the rows of their source in the ranges before. Rows are moved once.
     """
     spark = docs.sparkSession
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "range", "row", "tie", "part", "named", "base", "offset")]
     # rows that agree in source, size and doc_id are alike to the mix, so their order does not matter
     order = [F.asc_nulls_last("source"), F.col("size"), F.asc_nulls_first("doc_id"), F.col("tie")]
     rows = docs.select(*own).withColumn("size", size.cast("long")).withColumn("tie", F.xxhash64(*[c for c in own if c in ("doc_id", "text", "source")]))
-    ranged = stage(rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()))
-    per_range = stage(ranged.groupBy("range", "source").agg(F.count("*").alias("rows"), F.sum("size").alias("sizes")))
+    ranged = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    # ids count the rows of a range in their order, in which a source's rows are next to each other
+    ranged = stage(ranged.withColumn("range", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()).drop("tie"))
+    per_range = stage(ranged.groupBy("range", "source").agg(F.count("*").alias("rows"), F.sum("size").alias("sizes"), F.min("row").alias("first")))
     totals = per_range.groupBy("source").agg(F.sum("sizes").alias("source_size"))
     targets = sources_with_targets(totals, weights, most).withColumn("offset", offset(seed)).withColumnRenamed("source", "named")
     # one row per range and source: a source's ranges are few
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per_range.select("range", "source", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    bases = per_range.select("range", "source", (F.coalesce(F.sum("rows").over(before), F.lit(0)) + 1 - F.col("first")).alias("base"))
     rates = bases.join(targets, F.col("source").eqNullSafe(F.col("named"))).drop("source").withColumnRenamed("range", "part")
-    inside = Window.partitionBy("range", "source").orderBy(F.col("size"), F.asc_nulls_first("doc_id"), F.col("tie"))
-    numbered = ranged.withColumn("row", F.row_number().over(inside))
-    joined = numbered.join(rates, (F.col("range") == F.col("part")) & F.col("source").eqNullSafe(F.col("named")))
+    joined = ranged.join(small(stage(rates)), (F.col("range") == F.col("part")) & F.col("source").eqNullSafe(F.col("named")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("base") + F.col("row")
     crossed = F.floor(F.col("offset") + at * rate) - F.floor(F.col("offset") + (at - 1) * rate)

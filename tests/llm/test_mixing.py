@@ -64,3 +64,17 @@ def test_odd_rows(spark, odd, nothing):
     assert with_copies(nothing, F.lit(1)).count() == 0 and mixed(nothing).count() == 0
     zero = with_copies(odd, F.lit(0)).collect()
     assert {r.copies for r in zero} == {0} and {r.target for r in zero} == {0.0}
+
+
+def test_documents_move_once(spark):
+    rows = [(i % 700, ("a", "b", None)[i % 3], "w " * (1 + i % 9)) for i in range(1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = mixed(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # rows are numbered where they were written
+    # the copies of a source depend on places in its order alone
+    sizes = with_copies(docs, F.expr("size(split(trim(text), ' '))")).collect()
+    by = {s: sum(r.copies for r in sizes if r.source == s) for s in ("a", "b", None)}
+    for s in by:
+        n = sum(r.source == s for r in sizes)
+        rate = next(r.target / r.source_size for r in sizes if r.source == s)
+        assert abs(by[s] - n * rate) <= 1
