@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -21,15 +21,42 @@ from .common import table
 #: White space and then everything up to the next white space. Pieces never go on from other characters into
 #: white space, so a text may be cut there. U+001C to U+001F are white space to Python, not to the tokenizer.
 CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+#: Where a text may be cut: behind other characters, before white space.
+CUT = re.compile(r"[\S\x1c-\x1f](?=[^\S\x1c-\x1f])")
+#: A chunk that is a piece of letters, and one of marks or none; any other one goes to the pre-tokenizer.
+LETTERS = re.compile(r"( ?[A-Za-z]+)([.,;:!?]*)")
+#: A space, written as the pre-tokenizer does.
+SPACE = "\u0120"
+#: Characters of a text that are cut into chunks at a time.
+BLOCK = 1 << 20
 #: Longer chunks are not remembered; they would fill the memory and hardly come again.
 LONGEST = 64
 
 
+class Remembered(dict):
+    """Counts by string, computed when first asked for. At ``limit`` entries it starts anew and takes what it needs from
+    the entries before, so memory is bounded and common ones stay."""
+
+    def __init__(self, compute: Callable[[str], int], limit: int):
+        self.compute, self.limit, self.before = compute, limit, {}
+
+    def __missing__(self, name: str) -> int:
+        count = self.before.get(name)
+        if count is None:
+            count = self.compute(name)
+        if len(name) <= LONGEST:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[name] = count
+        return count
+
+
 class MergeCounter:
     """Token counts of texts for a tokenizer file of byte-level BPE.
 
-    Counts of chunks and pieces seen before come from two dictionaries, which start anew at ``limit`` entries;
-    counts don't depend on them.
+    Counts of chunks and pieces seen before come from two dictionaries of at most ``limit`` new and as many former
+    entries; counts don't depend on them.
     """
 
     def __init__(self, path: str, limit: int = 300_000):
@@ -48,58 +75,58 @@ class MergeCounter:
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(merges)}
         added = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        self.limit = limit
-        self.chunk_counts: dict[str, int] = {}
-        self.piece_counts: dict[str, int] = {}
+        self.chunk_counts, self.piece_counts = Remembered(self._chunk, limit), Remembered(self.merged, limit)
 
     def merged(self, piece: str) -> int:
         """Tokens of one piece, written with one character for each byte."""
-        symbols: list[str | None] = list(piece)
-        size, ranks = len(symbols), self.ranks
+        symbols = list(piece)
+        size, rank_of = len(symbols), self.ranks.get
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         # a pair is one number, its rank first and then its place, so that the least is popped first
-        heap = [rank * size + i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)) if (rank := ranks.get(pair)) is not None]
+        pairs = [None if rank is None else rank * size + i for i, rank in enumerate(map(rank_of, zip(symbols, symbols[1:], strict=False)))]
+        heap = [pair for pair in pairs if pair is not None]
         heapify(heap)
+        pairs.append(None)
         left = size
-        while heap:
-            rank, i = divmod(heappop(heap), size)
-            j = after[i]
-            if symbols[i] is None or j == size or ranks.get((symbols[i], symbols[j])) != rank:
+        while heap and left > 1:
+            pair = heappop(heap)
+            i = pair % size
+            if pairs[i] != pair:
                 continue  # one of the two has been merged since
-            symbols[i], symbols[j] = symbols[i] + symbols[j], None
+            j = after[i]
+            symbol = symbols[i] = symbols[i] + symbols[j]
+            pairs[i] = pairs[j] = None
             k = after[i] = after[j]
             left -= 1
             if k < size:
                 before[k] = i
-                if (rank := ranks.get((symbols[i], symbols[k]))) is not None:
-                    heappush(heap, rank * size + i)
-            if (h := before[i]) >= 0 and (rank := ranks.get((symbols[h], symbols[i]))) is not None:
-                heappush(heap, rank * size + h)
+                if (rank := rank_of((symbol, symbols[k]))) is not None:
+                    pairs[i] = pair = rank * size + i
+                    heappush(heap, pair)
+            if (h := before[i]) >= 0:
+                pairs[h] = None
+                if (rank := rank_of((symbols[h], symbol))) is not None:
+                    pairs[h] = pair = rank * size + h
+                    heappush(heap, pair)
         return left
 
     def _chunk(self, chunk: str) -> int:
-        total, known = 0, self.piece_counts
-        for piece, _ in self.pieces(chunk):
-            count = known.get(piece)
-            if count is None:
-                count = self.merged(piece)
-                if len(piece) <= LONGEST:
-                    if len(known) >= self.limit:
-                        known.clear()
-                    known[piece] = count
-            total += count
-        if len(chunk) <= LONGEST:
-            if len(self.chunk_counts) >= self.limit:
-                self.chunk_counts.clear()
-            self.chunk_counts[chunk] = total
-        return total
+        letters = LETTERS.fullmatch(chunk)
+        if letters is None:
+            known = self.piece_counts
+            return sum([known[piece] for piece, _ in self.pieces(chunk)])
+        if letters[2]:
+            known = self.chunk_counts
+            return known[letters[1]] + known[letters[2]]
+        return self.merged(chunk.replace(" ", SPACE))
 
     def _ordinary(self, text: str) -> int:
-        known, total = self.chunk_counts.get, 0
-        for match in CHUNK.finditer(text):
-            chunk = match[0]
-            count = known(chunk)
-            total += self._chunk(chunk) if count is None else count
+        known, total, at = self.chunk_counts.__getitem__, 0, 0
+        while at < len(text):
+            cut = CUT.search(text, at + BLOCK)
+            end = cut.end() if cut else len(text)
+            total += sum(map(known, CHUNK.findall(text, at, end)))
+            at = end
         return total
 
     def count(self, text: str) -> int:

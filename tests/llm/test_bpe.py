@@ -87,3 +87,31 @@ def test_other_vocabularies_are_refused():
 
     with pytest.raises(ValueError):
         MergeCounter(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_common_words_outlive_rare_ones(library, monkeypatch):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(12))
+    text = "".join(f" {word()} common, {word()}-{word()}" for _ in range(400))
+    merged, asked = MergeCounter.merged, []
+    monkeypatch.setattr(MergeCounter, "merged", lambda self, piece: asked.append(piece) or merged(self, piece))
+    counter = MergeCounter(byte_bpe(), limit=60)
+    assert counter.count(text) == library(text)
+    assert asked.count("Ġcommon") == 1 and asked.count(",") == 1
+    assert max(len(counter.chunk_counts), len(counter.piece_counts)) <= 60
+
+
+def test_letters_and_marks_against_library(library):
+    counter = MergeCounter(byte_bpe(), limit=1000)
+    for head in ("", " ", "  ", "\n", "\t "):
+        for word in ("the", "The", "don't", "x1", "é", ""):
+            for tail in ("", ".", "...", ",;", "!?", ".'s", ".a", ". ", "\n"):
+                text = f"{head}{word}{tail}"
+                assert counter.count(text) == library(text), repr(text)
+
+
+def test_blocks_against_library(library, monkeypatch):
+    text = "".join(random.Random(3).choice(["word", " ", "  ", "\n", "\x1c", "1", ",", "'s", "é"]) for _ in range(3000))
+    for block in (1, 2, 7, 100):
+        monkeypatch.setattr("setforge.llm.bpe.BLOCK", block)
+        assert MergeCounter(byte_bpe()).count(text) == library(text)
