@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE, partitions, stage, summed_slices, table
+from .common import SLICE, partitions, stage, summed_slices, table, tidy
 from .tokens import encoder, word_bpe
 
 #: BM25's usual constants.
@@ -87,7 +87,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             yield pa.record_batch([*none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, near long, width int, ids binary, slice int, counts binary")
+    return rows.mapInArrow(tidy(encode), "doc_id long, near long, width int, ids binary, slice int, counts binary")
 
 
 def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -235,7 +235,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, s
 
     order = [F.col("near"), F.asc_nulls_first("doc_id"), F.col("tie")]
     dealt = ids.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    return dealt.select("doc_id", "width", "ids").mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return dealt.select("doc_id", "width", "ids").mapInArrow(tidy(packed), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

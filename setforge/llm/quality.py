@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small, stage, table
+from .common import small, stage, table, tidy
 
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = re.compile(r"[^\x20\x09-\x0D]").search
@@ -76,7 +76,7 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), batch.column("copy"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[2:], strict=True))], schema=schema)
 
     kinds = ", ".join(["doc_id long", "copy long", *(f"{s} long" for s in STATS), *(f"{f} double" for f in FEATURES)])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("copy"), "text").mapInArrow(compute, kinds)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("copy"), "text").mapInArrow(tidy(compute), kinds)
 
 
 def average_path(n: np.ndarray | int):
@@ -190,7 +190,7 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = 20_000, trees: int
                 x = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES])
                 yield pa.record_batch([*(batch.column(c) for c in names), pa.array(np.round(forest.score(x), DIGITS))], names=[*names, "anomaly"])
 
-        return df.select(*names, *FEATURES).mapInArrow(score, f"{kept}, anomaly double")
+        return df.select(*names, *FEATURES).mapInArrow(tidy(score), f"{kept}, anomaly double")
 
     counts = scored(labelled, "quality int").groupBy("anomaly", "quality").count().collect()
     value, label, times = (np.array(c) for c in zip(*counts, strict=True))

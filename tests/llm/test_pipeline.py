@@ -29,3 +29,28 @@ def test_stages_by_themselves(spark):
 def test_registered():
     assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_unused_memory_goes_back(monkeypatch):
+    """After each batch and at a task's end, when no batch is held any more."""
+    import pyarrow as pa
+
+    from setforge.llm import common
+
+    seen = []
+
+    class Pool:
+        def release_unused(self):
+            seen.append("released")
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    batches = [pa.record_batch([pa.array([i])], names=["x"]) for i in range(3)]
+
+    def compute(rows):
+        for batch in rows:
+            seen.append(batch.column("x")[0].as_py())
+            yield batch
+        seen.append("end")
+
+    assert list(common.tidy(compute)(iter(batches))) == batches
+    assert seen == [0, "released", 1, "released", 2, "released", "end", "released"]
