@@ -12,7 +12,8 @@ Prefix filter with several matches, adapted to each document:
 4. Hubs: each node is compared with the node that most often leads its lists, for a few drawn leaders. The links found join most of a
    large group of near copies at the cost of one comparison a member.
 5. What is left are pairs of nodes in different components. In each list only nodes outside the list's main
-   component meet the others; a pair inside a component can add nothing to the components and isn't made.
+   component meet the others; a pair inside a component can add nothing to the components and isn't made. In long lists a
+   pair isn't made again that has met in a list shortly before.
 
 Each set has a parity bitmap: a shingle turns one of its bits over. Bits in which two bitmaps differ are no more
 than the shingles in which the sets differ. With 512 bits, pairs far apart are left out of the joins that make candidates.
@@ -30,10 +31,10 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, gathered_counts, small, stage, table
+from .common import components, gathered_counts, small, stage, table, tidy
 
 #: Counters of the shingle estimates (one byte each a task).
 SKETCH_BITS = 21
@@ -42,6 +43,9 @@ HUBS = (1, 6)
 #: Longest extension of a prefix, and the cost of a verification in list entries.
 MOST_MATCHES, VERIFY_COST = 4, 8
 
+#: In lists longer than SHORT, nodes that have one of the LAST tokens before in common do not meet again.
+SHORT, LAST = 3, 8
+
 #: Bytes of a text that are hashed at a time; a block ends at white space.
 BLOCK = 1 << 16
 #: Odd base of the word hashes.
@@ -163,17 +167,6 @@ def can_link(percent: int) -> Column:
     return room(reduce(add, [F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(8)]), percent)
 
 
-def least_shared(percent: int) -> Column:
-    """Shingles that the prefixes of sets that link have in common at least; of columns a_n, a_matches, a_last and those of b.
-
-    The set whose prefix ends first shares no more than what lies behind its prefix besides those: need(n) - matches.
-    """
-    behind = lambda k: F.ceil(F.col(f"{k}_n") * percent / 100) - F.col(f"{k}_matches")
-    common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
-    first = F.when(F.col("a_last") < F.col("b_last"), behind("a")).when(F.col("a_last") > F.col("b_last"), behind("b")).otherwise(F.least(behind("a"), behind("b")))
-    return F.greatest(F.least("a_matches", "b_matches").cast("long"), common - first)
-
-
 def can_link_wide(percent: int) -> Column:
     """Whether columns a_n, b_n, a_wide, b_wide leave room for a link; the larger bitmap is folded to the size of the other.
 
@@ -209,7 +202,7 @@ def signatures(docs: DataFrame, counts: np.ndarray, width: int, bits: int, perce
                     rows.append((len(x), (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), m, kept, folded(wide), wide))
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types[1:], strict=True))], schema=schema)
 
-    return docs.mapInArrow(sign, "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>, parity array<long>, wide array<long>")
+    return docs.mapInArrow(tidy(sign), "doc_id long, n long, set_a long, set_b long, matches int, prefix array<long>, parity array<long>, wide array<long>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -222,7 +215,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 yield pa.record_batch([part.column("node"), pa.array([shingles(t.as_py(), width) for t in part.column("text")], pa.list_(pa.int64()))], names=["node", "shingles"])
 
     found = docs.withColumnRenamed("doc_id", "node").join(small(ids), "node")
-    return found.select("node", "text").mapInArrow(read, "node long, shingles array<long>")
+    return found.select("node", "text").mapInArrow(tidy(read), "node long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -237,6 +230,27 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     return stage(both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b").distinct())
 
 
+def crossing(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) for nodes of different components that have a list of ``lists`` (token, node, component) in common and leave room for a link.
+
+    Long lists come along with the node's last tokens before theirs. Where two nodes have one of these in common, they have met
+    in its list, so near copies meet a few times and not in each list that they share.
+    """
+    sizes = lists.groupBy("token", "component").agg(F.count("*").alias("size"))
+    heads = sizes.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("listed"))
+    at = lists.join(heads, "token").join(nodes.select("node", "n", "parity"), "node")
+    before = F.collect_list("token").over(Window.partitionBy("node").orderBy("token").rowsBetween(-LAST, -1))
+    at = at.withColumn("before", F.when(F.col("listed") > SHORT, before))
+    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "component", "parity", "before")]
+    left = at.where("component <> main").select("token", F.col("node").alias("a"), *side("a"))
+    right = at.select("token", F.col("node").alias("b"), *side("b"), "main")
+    other = F.expr("a_component <> b_component and (b_component = main or a < b)")
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    new = ~F.coalesce(F.arrays_overlap("a_before", "b_before"), F.lit(False))
+    met = left.join(right, (left["token"] == right["token"]) & other & sizes & can_link(percent) & new)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs: tuple[int, ...] = HUBS, bits: int = SKETCH_BITS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -270,17 +284,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
         edges = edges.union(found)
         labels = stage(components(edges))
     at = stage(mixed(with_label(lists, labels)))
-    heads = at.groupBy("token", "component").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
-    at = at.join(heads, "token")
-    at = at.join(nodes.select("node", "n", "matches", "parity", F.element_at("prefix", -1).alias("last")), "node")
-    side = lambda k: [F.col(c).alias(f"{k}_{c}") for c in ("n", "matches", "component", "parity", "last")]
-    left = at.where("component <> main").select("token", F.col("node").alias("a"), *side("a"))
-    right = at.select("token", F.col("node").alias("b"), *side("b"), "main")
-    other = F.expr("a_component <> b_component and (b_component = main or a < b)")
-    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    met = left.join(right, (left["token"] == right["token"]) & other & sizes & can_link(percent))
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"), F.min(least_shared(percent)).alias("least"))
-    found = verified(pairs.where("shared >= least").select("a", "b"), nodes, rows, width, percent)
+    found = verified(stage(crossing(at, nodes, percent).distinct()), nodes, rows, width, percent)
     labels = components(edges.union(found))
     # back from nodes to rows
     names = nodes.select("set_a", "set_b", "n", "node")

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from setforge.llm.common import components
-from setforge.llm.jaccard import can_link, can_link_wide, folded, jaccard_components, one_of_each, parity_of, prefix_of, shingles
+from setforge.llm.jaccard import can_link, can_link_wide, crossing, folded, jaccard_components, one_of_each, parity_of, prefix_of, shingles
 
 
 def brute(rows):
@@ -134,3 +134,16 @@ def test_shingles_of_bytes():
     assert len(shingles(None)) == len(shingles(b" \t\n\x0b\x0c\r")) == 0
     assert len(shingles(b"a b c")) == 1 and len(shingles(b"a b c d e f")) == 2
     assert shingles(b"A b").tolist() == shingles(b"a\x0bB").tolist() != shingles(b"a b c").tolist()
+
+
+def test_near_copies_meet_a_few_times(spark):
+    """Members of a family share most lists; all their pairs come out, hardly one for each shared list."""
+    rng = random.Random(7)
+    kept = {k: sorted(t for t in range(60) if rng.random() < 0.85) for k in range(40)}
+    kept |= {100: [3], 101: [59], 102: [200, 201], 103: [200, 201]}
+    lists = spark.createDataFrame([(t, k, k) for k, tokens in kept.items() for t in tokens], "token long, node long, component long")
+    nodes = spark.createDataFrame([(k, 60, [0] * 8) for k in kept], "node long, n long, parity array<long>")
+    got = [(r.a, r.b) for r in crossing(lists, nodes, 80).collect()]
+    want = {(a, b) for a in kept for b in kept if a < b and set(kept[a]) & set(kept[b])}
+    assert set(got) == want
+    assert len(got) <= 2 * len(want) < sum(len(set(kept[a]) & set(kept[b])) for a, b in want) / 10
