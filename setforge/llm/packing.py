@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SLICE, partitions, stage, summed_slices, table, tidy
-from .tokens import encoder, word_bpe
+from .tokens import blocks, encoder, word_bpe
 
 #: BM25's usual constants.
 K1, B = 1.2, 0.75
@@ -68,9 +68,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         total = np.zeros(coder.vocabulary + 2, np.int64)
         last = np.zeros(coder.vocabulary, np.int32)  # where each id stands last in the document at hand
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = [coder.ids(t.as_py()) for t in part.column("text")]
+            for part in blocks(batch, "text"):
+                ids = coder.each(part.column("text"))
                 for x in ids:
                     place = np.arange(len(x), dtype=np.int32)
                     last[x] = place

@@ -1,10 +1,12 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from setforge.llm.packing import B, K1, Shard, pack, pack_shard
-from setforge.llm.tokens import Encoder, word_bpe
+from setforge.llm.tokens import Encoder, blocks, word_bpe
 
 
 def test_pieces_put_the_documents_together(spark, documents, odd):
@@ -70,3 +72,50 @@ def test_near_texts_share_a_window():
 
 def test_no_rows(spark, nothing):
     assert pack(nothing, word_bpe()).count() == 0
+
+
+SPELLINGS = [
+    "", " \t\n\x0b\x0c\r", "Hello, World. it's 12,5% a.b, x.. (y) foo' foo'' 'tis", "ÉTÉ straße, Naïve!? Ÿ ÿ À×Ö a÷b", "éa İstanbul ſ K ǅ ß̈ a\u0338 <\u0338",
+    "a\x85b c\xa0d\x1ce f\u2028g", "x<|endoftext|>y <|ENDOFTEXT|> word<|endoftext|>. word<| |> <|endoftext|>", "数据 処理 😀😀,", "a" * 3000 + " " + "É" * 500 + "###", "same Same SAME same. Same, same###",
+]
+
+
+@pytest.mark.parametrize("limit", [3, 600_000])
+def test_texts_of_a_block_against_the_library(documents, limit):
+    coder = Encoder(word_bpe(), 1, limit=limit)
+    texts = [*(t.encode() for t in SPELLINGS), None, b"broken \xff\xc3 \xe9t\xc3.", *((t or "").encode() for _, t in documents[:60])]
+    want = [[*coder.tokenizer.encode((t or b"").decode("utf-8", "replace"), add_special_tokens=False).ids, 1] for t in texts]
+    for kind in (pa.binary(), pa.large_binary()):
+        assert [x.tolist() for x in coder.each(pa.array(texts, kind))] == want
+        assert [x.tolist() for x in coder.each(pa.array([b"left out", *texts, b"as well"], kind).slice(1, len(texts)))] == want
+    assert coder.each(pa.array([], pa.binary())) == []
+    assert len(coder) <= limit
+
+
+def test_vocabularies_that_keep_marks_at_words(monkeypatch):
+    coder = Encoder(word_bpe(), 1)
+    monkeypatch.setattr(coder, "parts_marks", False)
+    texts = ["Hello, World.", "ÉTÉ..."]
+    assert [x.tolist() for x in coder.each(pa.array([t.encode() for t in texts]))] == [[*coder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_a_word_is_looked_up_once_in_a_block(monkeypatch):
+    coder, asked = Encoder(word_bpe(), 1), Counter()
+    known = Encoder.__missing__
+    monkeypatch.setattr(Encoder, "__missing__", lambda self, word: asked.update([word]) or known(self, word))
+    texts = [b"common Common, common. common### rare%d" % i for i in range(500)]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    rows = [x for part in blocks(batch, "text") for x in coder.each(part.column("text"))]
+    assert len(rows) == 500 and b"common" in coder
+    assert asked[b"common"] == asked[b"Common,"] == asked[b"common###"] == 0  # learned together, the forms never asked for
+    assert not [w for w in coder if w.lower() != w]
+
+
+def test_blocks_hold_all_rows_in_turn(monkeypatch):
+    monkeypatch.setattr("setforge.llm.tokens.BLOCK", 10)
+    texts = [b"", None, b"abc", b"x" * 35, b"", None, b"1234567890", b"1", b"2" * 9, b"3"]
+    batch = pa.record_batch({"text": pa.array(texts, pa.binary())})
+    parts = [part.column("text").to_pylist() for part in blocks(batch, "text")]
+    assert [t for part in parts for t in part] == texts
+    assert len(parts) > 3 and all(sum(len(t or b"") for t in part[:-1]) <= 10 for part in parts)
+    assert [*blocks(batch.slice(0, 0), "text")] == []
